@@ -228,7 +228,7 @@ def job_segment_process(spark, d):
 def lookup_lexicon(spark, d):
     words = derived.table(spark, d, "benchmark").select(
         F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ", -1)).alias("token")).distinct()
-    table = words.filter("token <> ''").select("token", F.upper("token").alias("replacement"))
+    table = words.filter("token <> ''").select("token", F.concat(F.lit("<"), F.col("token"), F.lit(">")).alias("replacement"))
     return lexicon.lookup_lexicon(_segments(spark, d).select("row_id", "src"), "src", "row_id", table)
 
 
@@ -468,7 +468,7 @@ def _attend(tokens: Column) -> Column:
 def _phrases(spark: SparkSession, d: str) -> DataFrame:
     words = derived.table(spark, d, "benchmark").select(
         F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ", -1)).alias("token")).distinct()
-    return words.select("token", F.upper("token").alias("replacement"))
+    return words.select("token", F.concat(F.lit("<"), F.col("token"), F.lit(">")).alias("replacement"))
 
 
 @query

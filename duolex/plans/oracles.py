@@ -237,7 +237,7 @@ training AS (SELECT row_id, shard, n_tokens, greatest(sum(n_tokens) OVER (PARTIT
              ORDER BY n_tokens, row_id ROWS UNBOUNDED PRECEDING) - 1, 0)::BIGINT // 4096 AS batch_id FROM sharded)"""
 
 _PHRASES = """
-phrases AS (SELECT DISTINCT w AS token, upper(w) AS replacement FROM (
+phrases AS (SELECT DISTINCT w AS token, '<' || w || '>' AS replacement FROM (
               SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM benchmark))"""
 
 # One row per output place of each segment; unknown places read the source place they attend to.
@@ -312,7 +312,7 @@ def all_oracles() -> dict[str, str]:
             SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM benchmark) WHERE w <> ''),
         places AS (SELECT row_id, unnest(string_split(Tr1, ' ')) AS token,
                           generate_subscripts(string_split(Tr1, ' '), 1) AS place FROM pairs)
-        SELECT row_id, string_agg(CASE WHEN w IS NULL THEN token ELSE upper(token) END, ' ' ORDER BY place) AS src
+        SELECT row_id, string_agg(CASE WHEN w IS NULL THEN token ELSE '<' || token || '>' END, ' ' ORDER BY place) AS src
         FROM places LEFT JOIN words ON w = token GROUP BY row_id"""
 
     out["anti_test_lines"] = f"""{p}, {_LINES} SELECT row_id, src FROM {_SEGMENTS}

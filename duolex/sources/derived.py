@@ -81,7 +81,7 @@ def held_out_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # The planted judgement is a quadratic in the three measures.
-PLANTED_INTERCEPT = 90.0
+PLANTED_INTERCEPT = 90.00137
 PLANTED_COEFFICIENTS = [-0.30, -0.20, 0.25, 0.0004, 0.0003, -0.0006, 0.0002, -0.0005, 0.0007]
 
 

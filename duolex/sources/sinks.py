@@ -42,13 +42,17 @@ def routed_rows(audit: DataFrame) -> DataFrame:
     )
 
 
-def write_routed(audit: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
+def write_routed(audit: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
+                 rebalance: bool = True) -> None:
     """One folder per route, file and language pair.
 
-    Rows are written by the tasks that hold them, so a file with most of the
-    rows is written by many tasks.
+    With `rebalance` rows of a folder come together first, folders with little
+    share a task and one with most of the rows is cut over many. Turn it off
+    where a task already holds the rows of few folders.
     """
     rows = routed_rows(audit)
+    if rebalance:
+        rows = rows.hint("rebalance", *ROUTE_KEYS)
     writer = _tsv(rows, True) if fmt == "csv" else rows.write
     writer.mode(mode).partitionBy(*ROUTE_KEYS).format(fmt).save(path)
 
