@@ -141,10 +141,15 @@ def characters(c: ColumnOrName) -> Column:
     return F.array_remove(F.split(as_col(c), ""), "")
 
 
-def trigrams(c: ColumnOrName) -> Column:
-    """Overlapping runs of three characters of the lower-cased text.
+def character_runs(c: ColumnOrName, length: int) -> Column:
+    """Overlapping runs of `length` characters.
 
     A look-ahead yields one run per character; none starts within a surrogate pair.
     """
-    pattern = r"(?s)(?![\x{DC00}-\x{DFFF}])(?=(...))"
-    return F.regexp_extract_all(F.lower(as_col(c)), F.lit(pattern), F.lit(1))
+    pattern = rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{length}}}))"
+    return F.regexp_extract_all(as_col(c), F.lit(pattern), F.lit(1))
+
+
+def trigrams(c: ColumnOrName) -> Column:
+    """Overlapping runs of three characters of the lower-cased text."""
+    return character_runs(F.lower(as_col(c)), 3)

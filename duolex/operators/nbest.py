@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from duolex.operators.batches import INFERENCE_BATCH, fixed_batches
+from duolex.session import stage
 
 # Decoding defaults.
 N_BEST = 1
@@ -28,8 +29,9 @@ def _seeded(predict: Predictor, sources: list[str], seed: int):
     random.seed(seed)
     np.random.seed(seed)
     return [
-        [{"tokens": list(t), "attn": [list(map(float, a)) for a in attn], "score": float(s)} for t, attn, s in cands]
-        for cands in predict(sources)
+        [{"tokens": list(tokens), "attn": attn.tolist() if hasattr(attn, "tolist") else attn, "score": float(score)}
+         for tokens, attn, score in candidates]
+        for candidates in predict(sources)
     ]
 
 
@@ -164,6 +166,8 @@ def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", or
         each = best.select(order, "src", F.posexplode_outer("candidates").alias("rank", "c")).select(
             order, "src", "rank", F.col("c.tokens").alias("tokens"), F.col("c.attn").alias("attn"),
             F.col("c.score").alias("score"), source_tokens.alias("source_tokens"))
+        # Read twice by the look-up; the predictor must not run twice.
+        each = stage(each, "candidates")
         filled = lookup_phrase_table(each, [order, "rank"], "tokens", "attn", "source_tokens", phrase_table)
         one = F.struct("rank", F.array_join("tokens", " ").alias("sent"), "attn", "score")
         return (

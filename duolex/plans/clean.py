@@ -12,8 +12,8 @@ from duolex.functions.text import clean_pair
 from duolex.operators.dedupe import repeated_keys, tag_later_copies, text_key
 from duolex.operators.langid import predict_languages
 from duolex.operators.routing import aligned_sentences, equal_pair, language_verdict, length_ratio
-from duolex.session import stage
-from duolex.sources.corpus import read_corpus
+from duolex.session import small_side, stage
+from duolex.sources.corpus import CORPUS_COLUMNS, read_corpus
 from duolex.sources.sinks import write_final_tsv, write_routed, write_tsv
 
 # Columns of the step table after `Filename` and `Original`, in step order.
@@ -67,12 +67,14 @@ def tag_step3(df: DataFrame, stage_no: int, label=None) -> DataFrame:
 
 
 def first_row_languages(df: DataFrame, within: str = "Filename", order: str = "row_id") -> DataFrame:
-    """Language pair of the first row of each file."""
-    return (
-        df.groupBy(within)
-        .agg(F.min_by(F.struct("Lang1", "Lang2"), order).alias("pair"))
-        .select(within, F.col("pair.Lang1").alias("first1"), F.col("pair.Lang2").alias("first2"))
-    )
+    """Language pair of the first row of each file; `order` is unique within a file.
+
+    The first place is a plain minimum, kept in a hash table per task; its row is
+    then fetched by a second narrow scan, which spares sorting all rows by file.
+    """
+    first = df.groupBy(within).agg(F.min(order).alias(order))
+    return df.select(within, order, "Lang1", "Lang2").join(first, [within, order]).select(
+        within, F.col("Lang1").alias("first1"), F.col("Lang2").alias("first2"))
 
 
 def stamp_languages(df: DataFrame, first: DataFrame, within: str = "Filename") -> DataFrame:
@@ -141,32 +143,50 @@ def with_route(df: DataFrame) -> DataFrame:
     )
 
 
-def through_step3(prepared: DataFrame) -> DataFrame:
-    """Steps 1 to 3 on a staged, prepared corpus; one row in, one row out."""
-    repeated = stage(
-        repeated_keys(prepared.filter("not is_equal"), ["Filename", "text_key"], "row_id"), "repeated")
-    tagged = tag_step2(tag_step1(prepared, repeated))
-    return tag_step3(tagged, 3, F.col("ratio_1")).drop("ratio_1")
+def find_repeated(prepared: DataFrame) -> DataFrame:
+    """Keys of pairs that occur again in their file, staged."""
+    alive = prepared.filter("not is_equal")
+    return stage(repeated_keys(alive, ["Filename", "text_key"], "row_id"), "repeated")
 
 
-def through_step4(prepared: DataFrame) -> DataFrame:
+def through_step2(prepared: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Steps 1 and 2 on a staged, prepared corpus; one row in, one row out."""
+    return tag_step2(tag_step1(prepared, small_side(repeated)))
+
+
+def through_step4(prepared: DataFrame, repeated: DataFrame) -> DataFrame:
     """Steps 1 to 4. The first live row of a file is never a later copy, so its
     languages come from the row facts alone."""
+    ratio = tag_step3(through_step2(prepared, repeated), 3, F.col("ratio_1")).drop("ratio_1")
     first = stage(first_row_languages(prepared.filter("not is_equal and ratio_1 = 'Ok'")), "first-langs")
-    return tag_step4(stamp_languages(through_step3(prepared), first))
+    return tag_step4(stamp_languages(ratio, small_side(first)))
+
+
+def audit_of(prepared: DataFrame, repeated: DataFrame, profiles: DataFrame, **options) -> DataFrame:
+    split = through_step4(prepared, repeated)
+    return with_route(tag_step5(tag_step3(split, 5), profiles, **options)).select(*AUDIT_COLUMNS)
 
 
 def clean_corpus(df: DataFrame, profiles: DataFrame, **options) -> DataFrame:
     """Audit of a corpus frame with Filename, row_id and the five corpus columns.
 
-    The rows are staged once with their facts. Two narrow passes over the facts
-    yield small tables (repeated pairs, languages of a file); one wide pass then
-    does all steps row by row, without moving the texts when those tables fit a
-    broadcast.
+    The rows are staged once with their facts. Narrow passes over the facts
+    yield two small tables (repeated pairs, languages of a file); one wide pass
+    then does all steps row by row, without moving the texts when those tables
+    fit a broadcast.
     """
     prepared = stage(prepare(df), "corpus")
-    split = through_step4(prepared)
-    return with_route(tag_step5(tag_step3(split, 5), profiles, **options)).select(*AUDIT_COLUMNS)
+    return audit_of(prepared, find_repeated(prepared), profiles, **options)
+
+
+def after_step4(audit: DataFrame) -> DataFrame:
+    """Rows as they were after step 4, swaps undone."""
+    def side(this: str, other: str):
+        return F.when(F.col("inverted"), F.col(other)).otherwise(F.col(this)).alias(this)
+
+    return audit.filter("drop_stage is null or drop_stage > 4").select(
+        "Filename", "row_id", "sent_no", "File",
+        side("Tr1", "Tr2"), side("Tr2", "Tr1"), side("Lang1", "Lang2"), side("Lang2", "Lang1"))
 
 
 def step_table(audit: DataFrame) -> DataFrame:
@@ -201,16 +221,14 @@ def clean_folder(spark: SparkSession, source: str, target: str, profiles: DataFr
     kept pairs as header-less TSV and the step table, and returns the latter.
     """
     prepared = stage(prepare(read_corpus(spark, source, multiline)), "corpus")
-    step4 = through_step4(prepared)
-    audit = with_route(tag_step5(tag_step3(step4, 5), profiles)).select(*AUDIT_COLUMNS)
+    repeated = find_repeated(prepared)
+    audit = audit_of(prepared, repeated, profiles)
     audit.write.parquet(f"{target}/audit")
     audit = spark.read.schema(audit.schema).parquet(f"{target}/audit")
     write_routed(audit, f"{target}/routes", fmt)
-    corpus = ["Filename", "row_id", "File", "Tr1", "Tr2", "Lang1", "Lang2"]
-    repeated = repeated_keys(prepared.filter("not is_equal"), ["Filename", "text_key"], "row_id")
-    tag_step2(tag_step1(prepared, repeated)).filter("drop_stage is null").select(*corpus).write.parquet(
-        f"{target}/steps/step_2")
-    step4.filter("drop_stage is null").select(*corpus, "sent_no").write.parquet(f"{target}/steps/step_4")
+    through_step2(prepared, repeated).filter("drop_stage is null").select(
+        "Filename", "row_id", *CORPUS_COLUMNS).write.parquet(f"{target}/steps/step_2")
+    after_step4(audit).write.parquet(f"{target}/steps/step_4")
     write_final_tsv(audit, f"{target}/final")
     counts = step_table(audit)
     write_tsv(counts.orderBy("Filename"), f"{target}/table_segments")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _RUN_ID = uuid.uuid4().hex[:12]
 
@@ -56,6 +56,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(staged: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcast if it has at most `max_rows`.
+
+    The count comes from the file footers. A larger table is returned as it is
+    and joins by shuffle, where a heavy key is split at run time.
+    """
+    return F.broadcast(staged) if staged.count() <= max_rows else staged
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete everything this run staged. Call it when no result is read any more."""
     jvm = spark.sparkContext._jvm

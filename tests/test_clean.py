@@ -99,7 +99,21 @@ def test_folder_end_to_end(spark, tmp_path, profiles):
     swapped = routes.filter(f"route = 'final' and Tr1 = '{en}' and Lang1 = 'fr'")
     assert swapped.count() == 1
     assert spark.read.parquet(f"{target}/steps/step_2").count() == 9
-    assert spark.read.parquet(f"{target}/steps/step_4").count() == 19
+    step4 = spark.read.parquet(f"{target}/steps/step_4")
+    assert step4.count() == 19 and step4.filter("Lang1 = 'en'").count() == 19
+
+
+def test_shuffled_tables_agree(audit, spark, small, profiles, monkeypatch):
+    """The same audit when no side table is small enough for a broadcast."""
+    monkeypatch.setattr(clean, "small_side", lambda df: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        other = stage(clean.clean_corpus(derived.pairs(spark, small), profiles, max_broadcast_rows=5), "audit")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert other.exceptAll(audit).count() == 0 and audit.exceptAll(other).count() == 0
 
 
 def test_empty_corpus(spark, profiles):
