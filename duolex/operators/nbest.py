@@ -103,11 +103,10 @@ def lookup_phrase_table(df: DataFrame, keys: list[str], tokens: str, attn: str,
     unknown = F.filter(
         F.transform(F.col(tokens), lambda t, i: F.struct(i.alias("at"), t.alias("t"))),
         lambda x: x["t"] == UNKNOWN)
-    asked = (
-        df.select(*keys, F.explode(unknown).alias("u"), attn, source_tokens)
-        .select(*keys, F.col("u.at").alias("at"),
-                F.get(F.col(source_tokens), most_attended(F.col(attn), F.col("u.at"))).alias("token"))
-    )
+    sought = F.transform(unknown, lambda x: F.struct(
+        x["at"].alias("at"),
+        F.get(F.col(source_tokens), most_attended(F.col(attn), x["at"])).alias("token")))
+    asked = df.select(*keys, F.inline(sought))
     hits = (
         asked.join(table.select("token", "replacement"), "token")
         .groupBy(*keys)
