@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,16 +30,18 @@ def build_session(app: str = "duolex", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="duolex-")
+
+
 def work_dir(spark: SparkSession) -> str:
     """This run's folder under the cluster's shared checkpoint folder.
 
     `spark.checkpoint.dir` names the folder. Only where it is unset, as in a
-    local test, a temporary folder is made and set for the session.
+    local test, a temporary folder takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="duolex-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{base.rstrip('/')}/duolex-{_RUN_ID}"
 
 
