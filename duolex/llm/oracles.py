@@ -47,7 +47,7 @@ WITH sized AS (SELECT doc_id, source, text, length(regexp_extract_all(coalesce(t
     by_level AS (SELECT *, 2.0 * source_size / w AS r, 1.5 * sum(source_size) OVER () AS total FROM per),
     run AS (SELECT *, coalesce(sum(2.0 * source_size) OVER (ORDER BY r, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
         sum(w) OVER (ORDER BY r DESC, source DESC) AS open FROM by_level),
-    level AS (SELECT min((total - used) / open) FILTER ((total - used) / open <= r) AS v FROM run),
+    level AS (SELECT min_by((total - used) / open, r) FILTER ((total - used) / open <= r) AS v FROM run),
     goals AS (SELECT source, source_size, least(2.0 * source_size, v * w) AS target FROM per, level),
     whole AS (SELECT *, floor(target / source_size)::INT AS epochs FROM goals),
     run_rows AS (SELECT r.*, g.source_size, g.target, g.epochs, round(g.target - g.epochs * g.source_size)::BIGINT AS rest,
