@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duolex.llm import exact_dedup, mixing, sharding
+from duolex.llm import exact_dedup, licenses, mixing, packing, sharding
 from duolex.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,21 @@ def op3_exact_dedup(spark, d):
 def op7_mixing(spark, d):
     mixed = mixing.mix(mixing.sized_rows(read_table(spark, d, "documents")))
     return mixed.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "epochs")
+
+
+@query
+def op2_packing(spark, d):
+    return packing.pack(read_table(spark, d, "documents"))
+
+
+@query
+def op5_licenses(spark, d):
+    found = licenses.scan_licenses(read_table(spark, d, "documents"))
+    base = F.filter("hits", lambda h: h["label"].isin(*licenses.BASE_LABELS) & (h["kind"] == "base"))
+    starts = F.transform("base", lambda h: h["start"])
+    return found.withColumn("base", base).select(
+        "doc_id", "n_words", F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("base", lambda h: h["label"]))), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score", F.array_join("expressions", "; ").alias("expressions"),
+        "permitted")
