@@ -64,17 +64,19 @@ def text_mark(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
-def repeat_rows(df: DataFrame, decisions: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeat_rows(df: DataFrame, decisions: DataFrame, key: str = "doc_id", text: str = "text",
+                most: int | None = None) -> DataFrame:
     """The rows of `df`, each as often as `decisions` (key, _mark, copies; a row for each of `df`) says.
 
     `_mark` is `text_mark` of the row. Texts stay where they are while the keys whose copies are not one
     fit a broadcast. Keys that several rows share, null among them, are settled apart: rows of one key and
-    text are one document with the sum of their copies, so no row takes another one's decision. Columns
+    text are one document with the sum of their copies, `most` at the most, so no row takes another one's decision. Columns
     are those of `df`, in order, whatever their names.
     """
     a, b, c, n, r = (f"_{x}{uuid.uuid4().hex[:6]}" for x in ("key", "mark", "copies", "n", "row"))
     asked = decisions.select(F.col(key).alias(a), F.col("_mark").alias(b), F.col("copies").cast("int").alias(c))
-    per_text = asked.groupBy(a, b).agg(F.sum(c).alias(c), F.count(F.lit(1)).alias(n))
+    per_text = asked.groupBy(a, b).agg(
+        (F.sum(c) if most is None else F.least(F.sum(c), F.lit(most))).alias(c), F.count(F.lit(1)).alias(n))
     per_key = per_text.groupBy(a).agg(F.sum(n).alias(n), F.sum(c).alias(c))
     special = stage(per_key.filter((F.col(n) > 1) | F.col(a).isNull() | (F.col(c) != 1)), "special-keys")
     shared = special.filter((F.col(n) > 1) | F.col(a).isNull())

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duolex.llm import exact_dedup, licenses, mixing, packing, sharding
+from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash
 from duolex.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,8 @@ def op5_licenses(spark, d):
         F.array_join(F.array_sort(F.array_distinct(F.transform("base", lambda h: h["label"]))), ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"), "score", F.array_join("expressions", "; ").alias("expressions"),
         "permitted")
+
+
+@query
+def op10_simhash(spark, d):
+    return simhash.near_groups(read_table(spark, d, "documents")).drop("_mark")
