@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash
+from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash, toxicity
 from duolex.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,9 @@ def op5_licenses(spark, d):
 @query
 def op10_simhash(spark, d):
     return simhash.near_groups(read_table(spark, d, "documents")).drop("_mark")
+
+
+@query
+def op8_toxicity(spark, d):
+    scored = toxicity.fit_and_score(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
