@@ -56,6 +56,14 @@ WITH sized AS (SELECT doc_id, source, text, length(regexp_extract_all(coalesce(t
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken, source, epochs
 FROM run_rows"""
 
+OP9 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_sharding": OP1, "op3_exact_dedup": OP3, "op7_mixing": OP7}
+    return {"op1_sharding": OP1, "op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_topk": OP9}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash, toxicity
+from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash, topk, toxicity
 from duolex.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,8 @@ def op10_simhash(spark, d):
 def op8_toxicity(spark, d):
     scored = toxicity.fit_and_score(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op9_topk(spark, d):
+    return topk.top_k(read_table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
