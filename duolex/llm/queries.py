@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash, topk, toxicity
+from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash, substrings, topk, toxicity
 from duolex.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,8 @@ def op8_toxicity(spark, d):
 @query
 def op9_topk(spark, d):
     return topk.top_k(read_table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op4_substrings(spark, d):
+    return substrings.shared_passages(read_table(spark, d, "documents"))
