@@ -9,7 +9,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from duolex.llm.common import fresh_path
-from duolex.llm.tokens import encoder, in_batches, tokenizer_path
+from duolex.llm.tokens import encoder, tokenizer_path
 
 LENGTH = 4096
 END_ID = 1
@@ -100,15 +100,11 @@ def _pack_texts(path: str, length: int, end_id: int, slack: int, items: int):
         encode, base, made, waiting = encoder(path).encode, _task_number(0), 0, []
         end = end_id.to_bytes(4, "little")
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            for some in in_batches(texts):
-                for ids in encode(some):
-                    waiting.extend([x] for x in cut_pieces(keys[at], ids + end, length))
-                    at += 1
-                if len(waiting) >= items:
-                    yield from _pack(waiting, base + made, length, slack, False)
-                    made, waiting = made + len(waiting), []
+            for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                waiting.extend([x] for x in cut_pieces(key, ids + end, length))
+            if len(waiting) >= items:
+                yield from _pack(waiting, base + made, length, slack, False)
+                made, waiting = made + len(waiting), []
         yield from _pack(waiting, base + made, length, slack, False)
 
     return run

@@ -7,19 +7,21 @@ tokenizer in one call per batch.
 
 from __future__ import annotations
 
-import re
 import sys
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 # Chunks of at most MAX_KEPT characters are kept, in two generations of CACHE_CHUNKS each.
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 300_000
 MAX_KEPT = 48
+# Characters of text that are split and looked up at once.
+BATCH_CHARS = 4_000_000
 
-# Characters up to U+012F without controls: no combining marks, lower case is one character each.
-_UNUSUAL = re.compile("[^\t-\r -į]")
-_CONTROL = re.compile("[\x1c-\x1f]")
-# Punctuation between a letter and white space is a piece of its own in any case.
-_TAIL = re.compile(r"(?<=[a-zà-öø-ÿ])([.,;:!?]+)(?=\s|$)")
+# Latin letters without combining marks, whose lower case is one character each, and ASCII without most controls.
+_UNUSUAL = "[^\t-\r -~\u00a1-\u012f]"
+# Controls that Python splits at and the tokenizer does not.
+_CONTROLS = "\x1c\x1d\x1e\x1f"
+# A run of these after letters is a piece of its own in any case.
+_TAIL = ".,;:!?"
 
 
 def tokenizer_path(name: str = WORD_TOKENIZER) -> str:
@@ -45,49 +47,98 @@ class WordEncoder:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _chunks(self, text: str) -> list[str]:
-        if _UNUSUAL.search(text):
-            # A control that Python splits at and the tokenizer does not: the text stays in one piece.
-            return [text] if _CONTROL.search(text) else text.split()
-        return _TAIL.sub(r" \1", text.lower()).split()
-
     def _plain(self, chunks: list[str]) -> list[bytes]:
         import numpy as np
 
         encodings = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encodings]
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of new chunks. A chunk of letters is one piece, whose last token alone closes a word."""
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of Latin letters, each of which is one piece whose last token alone closes a word."""
         import numpy as np
 
-        letters = [c for c in chunks if c.isalpha() and not _UNUSUAL.search(c)]
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.closes[ids]) + 1 if len(ids) else ids
-        if len(ends) != len(letters):
+        if len(ends) != len(words):
+            return dict(zip(words, self._plain(words)))
+        raw, starts = ids.tobytes(), [0, *(4 * ends[:-1]).tolist()]
+        return {w: raw[a:b] for w, a, b in zip(words, starts, (4 * ends).tolist())}
+
+    def _learn(self, chunks: list[str], usual: bool) -> dict[str, bytes]:
+        """Ids of new chunks; letters with punctuation behind them are looked up as two."""
+        if not usual:
             return dict(zip(chunks, self._plain(chunks)))
-        raw, found, start = ids.tobytes(), {}, 0
-        for chunk, end in zip(letters, (4 * ends).tolist()):
-            found[chunk] = raw[start:end]
-            start = end
-        others = [c for c in chunks if c not in found]
+        found: dict[str, bytes] = {}
+        letters, tailed, others = [], [], []
+        for c in chunks:
+            core = c.rstrip(_TAIL)
+            (others if not core.isalpha() else letters if core == c else tailed).append(c)
+        found.update(self._words(letters))
+        cores = {c.rstrip(_TAIL) for c in tailed}
+        known = {c: v for c in cores if (v := found.get(c) or self.new.get(c) or self.old.get(c))}
+        known.update(self._words([c for c in cores if c not in known]))
+        tails = {c[len(c.rstrip(_TAIL)):] for c in tailed}
+        tail_ids = dict(zip(tails, self._plain(list(tails))))
+        found.update((c, known[core] + tail_ids[c[len(core):]]) for c in tailed for core in (c.rstrip(_TAIL),))
         found.update(zip(others, self._plain(others)))
         return found
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [self._chunks(t) if t else [] for t in texts]
-        wanted = set().union(*split) if split else set()
-        missing = [c for c in wanted if c not in self.new]
-        known = {c: self.old[c] for c in missing if c in self.old}
-        known.update(self._learn([c for c in missing if c not in known]))
-        if len(self.new) + len(known) > CACHE_CHUNKS:
-            self.old, self.new = self.new, {}
-            known.update({c: self.old[c] for c in wanted if c in self.old})
-        self.new.update(known)
-        out = [b"".join([self.new[c] for c in chunks]) for chunks in split]
-        for c in known:
-            if len(c) > MAX_KEPT:
-                del self.new[c]
+    def _look_up(self, wanted: list[str], usual: bool = True) -> list[bytes]:
+        """Ids of distinct chunks."""
+        new, old = self.new, self.old
+        here = [new.get(c) for c in wanted]
+        missing = [c for c, v in zip(wanted, here) if v is None]
+        known = {c: v for c in missing if (v := old.get(c)) is not None}
+        known.update(self._learn([c for c in missing if c not in known], usual))
+        if len(new) + len(known) > CACHE_CHUNKS:
+            self.old, self.new = new, {}
+        self.new.update((c, v) for c, v in known.items() if len(c) <= MAX_KEPT)
+        return [known[c] if v is None else v for c, v in zip(wanted, here)]
+
+    def _rare(self, text: str) -> bytes:
+        """A text with other characters: its chunks as they are, or the whole of it where they are unclear."""
+        if any(c in text for c in _CONTROLS):
+            return self._plain([text])[0]
+        chunks = text.split()
+        distinct = list(dict.fromkeys(chunks))
+        ids = dict(zip(distinct, self._plain(distinct)))
+        return b"".join([ids[c] for c in chunks])
+
+    def encode(self, texts) -> list[bytes]:
+        """Ids of each text of an Arrow string array, about BATCH_CHARS characters at a time."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        out, at = [], 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_CHARS)))
+            out += self._encode(texts.slice(at, end - at))
+            at = end
+        return out
+
+    def _encode(self, texts) -> list[bytes]:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        unusual = pc.match_substring_regex(texts, _UNUSUAL)
+        lists = pc.ascii_split_whitespace(pc.utf8_lower(pc.if_else(unusual, "", texts)))
+        words = lists.flatten()
+        coded = words.dictionary_encode()
+        pieces = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        starts, flat = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(pieces), "<u4")
+        place = coded.indices.to_numpy()
+        each = lengths[place]
+        ends = np.cumsum(each)
+        raw = flat[np.repeat(starts[place] - (ends - each), each) + np.arange(int(each.sum()))].tobytes()
+        edges = np.concatenate([[0], ends])[np.cumsum(np.concatenate([[0], pc.list_value_length(lists).to_numpy()]))]
+        edges = (4 * edges).tolist()
+        out = [raw[a:b] for a, b in zip(edges, edges[1:])]
+        for i in pc.indices_nonzero(unusual).to_pylist():
+            out[i] = self._rare(texts[i].as_py())
         return out
 
 
@@ -98,16 +149,3 @@ def encoder(path: str) -> WordEncoder:
         kept.clear()
         kept[path] = WordEncoder(path)
     return kept[path]
-
-
-def in_batches(texts: list[str | None], chars: int = 1_000_000):
-    """Runs of texts of about `chars` characters; a longer text is a run of its own."""
-    run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t or "")
-        if size >= chars:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
