@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash, substrings, topk, toxicity
-from duolex.llm.common import read_table
+from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash, substrings, token_counts, topk, toxicity
+from duolex.llm.common import fresh_path, read_table
+from duolex.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -23,6 +24,8 @@ def all_queries() -> dict[str, Query]:
 
 
 SHARDS = 8
+# Tokenizer versions that are counted: the file, and words as `mixing` counts them.
+BPE_VERSION, WORDS_VERSION = "word_bpe_49k", "words-1"
 
 
 @query
@@ -79,3 +82,36 @@ def op9_topk(spark, d):
 @query
 def op4_substrings(spark, d):
     return substrings.shared_passages(read_table(spark, d, "documents"))
+
+
+@query
+def op6_token_counts(spark, d):
+    """All documents come in; copies of a text go; documents with repeated lines are counted anew without those."""
+    docs = read_table(spark, d, "documents").withColumns({
+        "whole": F.coalesce("text", F.lit("")), "lines": F.split(F.coalesce("text", F.lit("")), "\n")})
+    docs = docs.withColumns({"once": F.array_join(F.array_distinct("lines"), "\n"), "digest": F.sha2("whole", 256)})
+    facts = docs.select("doc_id", "source", "lang", "digest", "whole", F.nullif("once", "whole").alias("revised"))
+    keep = ["doc_id", "source", "lang", "digest"]
+    texts = facts.select(*keep, F.explode(F.array(
+        F.struct(F.lit(False).alias("again"), F.col("whole").alias("text")),
+        F.struct(F.lit(True).alias("again"), F.col("revised").alias("text")))).alias("t")).select(
+        *keep, "t.*").filter("text is not null").withColumn("words", mixing.count_words("text"))
+    counted = stage(token_counts.count_tokens(texts, [*keep, "again", "words"]), "token-counts")
+    versions = F.explode(F.array(
+        F.struct(F.lit(BPE_VERSION).alias("tokenizer"), F.col("tokens")),
+        F.struct(F.lit(WORDS_VERSION).alias("tokenizer"), F.col("words").alias("tokens"))))
+    rows = counted.select(*keep, "again", versions.alias("v")).select(*keep, "again", "v.*")
+    base = rows.filter("not again")
+    first = base.groupBy("digest", "tokenizer").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"))
+    first = first.select(F.col("digest").alias("_digest"), F.col("tokenizer").alias("_tokenizer"), F.col("first.doc_id").alias("_first"))
+    first = stage(first, "first-copies")
+    mine = (F.col("digest") == F.col("_digest")) & (F.col("tokenizer") == F.col("_tokenizer"))
+    copies = base.join(first, mine & ~F.col("doc_id").eqNullSafe(F.col("_first")))
+    kept = rows.join(first, mine & F.col("doc_id").eqNullSafe(F.col("_first")))
+    old = kept.filter("not again").select("digest", "tokenizer", F.col("tokens").alias("old_tokens"))
+    changed = kept.filter("again").join(old, ["digest", "tokenizer"])
+    rollup = token_counts.Rollup(spark, fresh_path(spark, "rollup"))
+    for batch, deltas in (("1-load", token_counts.inserts(base)), ("2-copies", token_counts.deletes(copies)),
+                          ("3-lines", token_counts.revisions(changed)), ("2-copies", token_counts.deletes(copies))):
+        rollup.commit(batch, deltas)
+    return rollup.totals()
