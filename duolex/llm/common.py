@@ -59,6 +59,11 @@ def ranked(staged: DataFrame, groups: list[str], order: list[str], out: str, par
         "_rk_range", "_rk_place", "_rk_tie", "_rk_local", "_r", "_rk_start", *[f"_g{i}" for i in range(len(groups))])
 
 
+def quoted(names: list[str]) -> list[str]:
+    """Column names that may hold dots, as references."""
+    return ["`" + n.replace("`", "``") + "`" for n in names]
+
+
 def text_mark(text: str = "text") -> Column:
     """Tells rows apart that share a key: a hash of the text as it is."""
     return F.xxhash64(F.col(text))
@@ -78,6 +83,7 @@ def repeat_rows(df: DataFrame, decisions: DataFrame, key: str = "doc_id", text:
     per_text = asked.groupBy(a, b).agg(
         (F.sum(c) if most is None else F.least(F.sum(c), F.lit(most))).alias(c), F.count(F.lit(1)).alias(n))
     per_key = per_text.groupBy(a).agg(F.sum(n).alias(n), F.sum(c).alias(c))
+    columns = quoted(df.columns)
     special = stage(per_key.filter((F.col(n) > 1) | F.col(a).isNull() | (F.col(c) != 1)), "special-keys")
     shared = special.filter((F.col(n) > 1) | F.col(a).isNull())
     single = special.filter((F.col(n) == 1) & F.col(a).isNotNull())
@@ -89,13 +95,13 @@ def repeat_rows(df: DataFrame, decisions: DataFrame, key: str = "doc_id", text:
         small_or_shuffled(shared.select(a)), F.col(key).eqNullSafe(F.col(a)), "left_anti")
     once = rest.join(small_or_shuffled(single.select(a, c)), F.col(key) == F.col(a), "left")
     if special.filter(F.col(c) > 1).isEmpty():
-        out = once.filter(F.coalesce(F.col(c), F.lit(1)) > 0).select(*df.columns)
+        out = once.filter(F.coalesce(F.col(c), F.lit(1)) > 0).select(*columns)
     else:
-        out = times(once).select(*df.columns)
+        out = times(once).select(*columns)
     if shared.isEmpty():
         return out
     odd = df.join(small_or_shuffled(shared.select(a)), F.col(key).eqNullSafe(F.col(a)), "left_semi")
     whole = odd.groupBy(F.col(key).alias("k"), text_mark(text).alias("m")).agg(
-        F.any_value(F.struct(*[F.col(x) for x in df.columns])).alias("row"))
+        F.any_value(F.struct(*columns)).alias("row"))
     back = whole.join(per_text, F.col("k").eqNullSafe(F.col(a)) & (F.col("m") == F.col(b)))
     return out.unionByName(times(back).select("row.*"))

@@ -19,8 +19,8 @@ def count_words(text: str) -> Column:
 
 
 def quality_weight(text: str, size: str) -> Column:
-    """1 where words have 2 to 12 characters on average, blanks aside; else one half."""
-    mean = (F.length(text) - F.col(size)) / F.col(size)
+    """1 where words have 2 to 12 characters on average, blanks aside; else, and without words, one half."""
+    mean = F.try_divide(F.length(text) - F.col(size), F.col(size))
     return F.when(mean.between(2, 12), 1.0).otherwise(0.5)
 
 
@@ -109,5 +109,5 @@ def mix_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source
     Documents without a word are no part of any target and stay once.
     """
     taken = mix(sized_rows(df, key, text, source), whole=True, **options)
-    copies = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int")
+    copies = F.when(F.col("size") > 0, F.try_divide("taken", "size")).otherwise(1).cast("int")
     return repeat_rows(df, taken.select(F.col("key").alias(key), "_mark", copies.alias("copies")), key, text)

@@ -28,12 +28,12 @@ def rendezvous(key: str | Column, weights: Sequence[float]) -> Column:
 
 
 def assign_shards(df: DataFrame, key: str, weights: Sequence[float], out: str = "shard") -> DataFrame:
-    """Adds the shard of each row. Rows that repeat a key share its shard; other columns are left alone.
+    """Adds the shard of each row, in place of a column `out` if there is one; the other columns stay as they are.
+
+    Rows that repeat a key share its shard; null keys share one, and an empty table stays empty.
 
     A narrow projection without any shuffle: nothing but the key and the weights decides.
     """
-    if out in df.columns:
-        raise ValueError(f"column {out} is there already")
     return df.withColumn(out, rendezvous(key, weights))
 
 
