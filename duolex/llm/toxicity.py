@@ -41,7 +41,7 @@ _NOT_CAPITAL = bytes(b for b in range(256) if not 65 <= b <= 90)
 _NOT_LETTER = bytes(b for b in range(256) if not (65 <= b <= 90 or 97 <= b <= 122 or b >= 128))
 _SHOUTED = re.compile(rb"(?<![A-Za-z\x80-\xff])[A-Z]{3,}(?![A-Za-z\x80-\xff])")
 _RUNS = re.compile(rb"[!?*#%&$@]{2,}")
-_DISGUISED = re.compile(rb"[A-Za-z]+(?:[0-9@$*]+[A-Za-z]+)+")
+_DISGUISED = re.compile(rb"[0-9@$]*[A-Za-z]+(?:[0-9@$*]+[A-Za-z]+)+")
 _UNMASK = bytes.maketrans(b"013457@$", b"oieastas")
 
 
