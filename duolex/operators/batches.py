@@ -22,29 +22,33 @@ _FANOUT = 1 << 10
 SHARD_ROWS = 1_000_000
 
 
+def _before(sums: DataFrame, n: int) -> DataFrame:
+    """_range, _before: what stands before each of the ranges 0 to n - 1, by groups of `_FANOUT` of them.
+
+    Groups are treated likewise, so no window holds more than `_FANOUT` rows.
+    """
+    within = W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    grouped = sums.withColumn("_group", F.floor(F.col("_range") / F.lit(_FANOUT)).cast("bigint"))
+    local = grouped.withColumn("_before", F.coalesce(F.sum("_s").over(within), F.lit(0)))
+    if n <= _FANOUT:
+        return local.select("_range", "_before")
+    groups = grouped.groupBy(F.col("_group").alias("_range")).agg(F.sum("_s").alias("_s"))
+    above = _before(groups, -(-n // _FANOUT)).select(F.col("_range").alias("_group"), F.col("_before").alias("_above"))
+    return local.join(above, "_group").select("_range", (F.col("_before") + F.col("_above")).alias("_before"))
+
+
 def running_sum(df: DataFrame, value: Column, order: str, out: str, width: int = RANGE_WIDTH) -> DataFrame:
     """Adds the sum of `value` over all rows up to and with this one in `order`.
 
-    `order` is a unique whole number of zero or more.
+    `order` is a unique whole number of zero or more. Its maximum is asked for first, so stage a table
+    that is dear to compute.
     """
+    last = df.agg(F.max(order)).first()[0] or 0
     ranged = df.withColumn("_range", F.floor(F.col(order) / F.lit(width)).cast("bigint")).withColumn("_v", value)
-    ranges = ranged.groupBy("_range").agg(F.sum("_v").alias("_s"))
-    ranges = ranges.withColumn("_group", F.floor(F.col("_range") / F.lit(_FANOUT)).cast("bigint"))
-    groups = ranges.groupBy("_group").agg(F.sum("_s").alias("_g"))
-    before_group = groups.select(
-        "_group",
-        F.coalesce(F.sum("_g").over(W.orderBy("_group").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        .alias("_before_group"),
-    )
-    within = W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    before = (
-        ranges.withColumn("_before", F.coalesce(F.sum("_s").over(within), F.lit(0)))
-        .join(before_group, "_group")
-        .select("_range", (F.col("_before") + F.col("_before_group")).alias("_before"))
-    )
+    sums = ranged.groupBy("_range").agg(F.sum("_v").alias("_s"))
     rows = W.partitionBy("_range").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     return (
-        ranged.join(before, "_range")
+        ranged.join(_before(sums, last // width + 1), "_range")
         .withColumn(out, (F.sum("_v").over(rows) + F.col("_before")).cast("bigint"))
         .drop("_range", "_v", "_before")
     )

@@ -133,12 +133,15 @@ def predict_languages(df: DataFrame, columns: dict[str, str], profiles: DataFram
                       keys: list[str], max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Adds, for each `new: text` in `columns`, the language of the text.
 
-    Profiles of a counted, bounded size go to every task and the rows stay where
-    they are. Larger ones are joined with the trigrams of the texts; `keys` must
+    Profiles of a counted, bounded size (languages times trigrams) go to every
+    task and the rows stay where they are. Larger ones are joined with the trigrams of the texts; `keys` must
     then name a row. Missing texts get no language.
     """
-    rows = profiles.limit(max_broadcast_rows + 1).count()
-    if 0 < rows <= max_broadcast_rows:
+    langs, grams = profiles.agg(F.countDistinct("lang"), F.countDistinct("gram")).first()
+    if not langs:
+        raise ValueError("no language profile to compare with")
+    # A task holds a weight per language and trigram, whether the profile has it or not.
+    if langs * grams <= max_broadcast_rows:
         predict = _predictor(_broadcast_model(profiles))
         return df.withColumns({out: predict(F.lower(src)) for out, src in columns.items()})
     return _by_join(df, columns, profiles, keys)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from duolex.operators.batches import INFERENCE_BATCH, fixed_batches
 from duolex.session import stage
 
-# Decoding defaults.
+# Decoding defaults. The lengths bound what a decoder writes; pass them to yours.
 N_BEST = 1
 MIN_LENGTH = 0
 MAX_LENGTH = 300
@@ -39,7 +39,7 @@ def predict_candidates(df: DataFrame, src: str, order: str, load: Callable[[], P
                        batch_size: int = INFERENCE_BATCH, seed: int = SEED, exact_batches: bool = False) -> DataFrame:
     """order, src, candidates: the predictor's raw output per row.
 
-    `load` runs once per task. Rows reach the predictor in batches of
+    `load` runs once per task, in either mode. Rows reach the predictor in batches of
     `batch_size` with the seed set anew for each. By default a batch is made of
     rows that lie together; with `exact_batches` it is the run of rows in global
     order, at the price of a shuffle, for predictors whose result depends on
@@ -53,10 +53,21 @@ def predict_candidates(df: DataFrame, src: str, order: str, load: Callable[[], P
         return pd.DataFrame({order: part[order].to_numpy(), "src": part["src"].to_numpy(), "candidates": found})
 
     if exact_batches:
-        def one_batch(part: pd.DataFrame) -> pd.DataFrame:
-            return frame(part.sort_values(order), load())
-
-        return fixed_batches(rows, order, batch_size).groupBy("batch_id").applyInPandas(one_batch, schema)
+        def runs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            predict = load()
+            held = None
+            for part in parts:
+                held = part if held is None else pd.concat([held, part], ignore_index=True)
+                # The last batch may go on in the next part.
+                whole = held["batch_id"] != held["batch_id"].iloc[-1] if len(held) else []
+                for _, batch in held[whole].groupby("batch_id", sort=False) if len(held) else ():
+                    yield frame(batch, predict)
+                held = held[~whole] if len(held) else None
+            if held is not None and len(held):
+                yield frame(held, predict)
+
+        batched = fixed_batches(stage(rows, "to-predict"), order, batch_size)
+        return batched.repartition("batch_id").sortWithinPartitions("batch_id", order).mapInPandas(runs, schema)
 
     def stream(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()
@@ -74,6 +85,7 @@ def predict_candidates(df: DataFrame, src: str, order: str, load: Callable[[], P
 
 
 def output_length_ok(tokens: Column, min_length: int = MIN_LENGTH, max_length: int = MAX_LENGTH) -> Column:
+    """Whether a candidate's length is within bounds, for callers who want to drop those that are not."""
     return F.size(tokens).between(min_length, max_length)
 
 
@@ -140,17 +152,18 @@ def collect_nbest(ranked: DataFrame, source_id: str, fields: list[str]) -> DataF
 def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", order: str = "row_id",
               n_best: int = N_BEST, batch_size: int = INFERENCE_BATCH, seed: int = SEED,
               replace_unk: bool = True, phrase_table: DataFrame | None = None,
-              min_length: int = MIN_LENGTH, max_length: int = MAX_LENGTH,
               exact_batches: bool = False) -> DataFrame:
     """order, src, translation: the `n_best` candidates per row as an array of
     `(src, sent, attn, score)`, best first. Sort by `order` where it matters.
 
+    Every row gives a result with all that its predictor found, however long.
+    Limits on length are the predictor's: bind them in `load`.
+
     Candidates of a row stay in its row, so ranking them moves nothing.
     """
     found = predict_candidates(df, src, order, load, batch_size, seed, exact_batches)
-    fits = F.filter(F.col("candidates"), lambda c: output_length_ok(c["tokens"], min_length, max_length))
     ranked = F.array_sort(
-        F.transform(fits, lambda c, i: F.struct((-c["score"]).alias("loss"), i.alias("place"), c.alias("c"))),
+        F.transform("candidates", lambda c, i: F.struct((-c["score"]).alias("loss"), i.alias("place"), c.alias("c"))),
         lambda a, b: F.when(a["loss"] < b["loss"], -1).when(a["loss"] > b["loss"], 1)
         .when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0),
     )

@@ -87,7 +87,36 @@ _TERM_SQL = {
 _PLANTED = " + ".join(
     [str(PLANTED_INTERCEPT)] + [f"({k}::DOUBLE) * ({t})" for k, t in zip(PLANTED_COEFFICIENTS, _TERM_SQL.values())])
 _SCORED = _FEATURES + f""",
-scored AS (SELECT *, {_PLANTED} AS planted, (row_id % 7 - 3) / 4.0 AS noise FROM feats)"""
+scored AS (SELECT *, {_PLANTED} + (row_id * 37 % 101 - 50) / 25.0 AS planted, (row_id % 7 - 3) / 4.0 AS noise FROM feats)"""
+
+# Two of three documents train the evaluated model; row ids hold the document above 20 bits of place.
+_TRAIN = "(row_id >> 20) % 3 <> 0"
+
+
+def _fit(rows: str) -> str:
+    """Least squares by the normal equations: moments about the means, then elimination, one row of it a step."""
+    names = list(_TERM_SQL)
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in ("wer", "cer", "f_score"))
+    terms = ", ".join(f"{sql} AS {name}" for name, sql in _TERM_SQL.items())
+    matrix = ", ".join("[" + ", ".join(f"covar_pop({a}, {b})" for b in [*names, "label"]) + "]" for a in names)
+    means = ", ".join(f"avg({n})" for n in names)
+    listed = ", ".join(f"'{n}'" for n in names)
+    # Features are taken in hundreds, as the moments of their squares are far apart else.
+    scales = ", ".join("100.0" if "_" not in n.replace("f_score", "f") else "10000.0" for n in names)
+    return f"""
+fit_in AS (SELECT wer / 100 AS wer, cer / 100 AS cer, f_score / 100 AS f_score, planted AS label FROM scored WHERE {whole} AND {rows}),
+fit_terms AS MATERIALIZED (SELECT {terms}, label FROM fit_in),
+moments AS (SELECT [{matrix}] AS m, [{means}] AS means, avg(label) AS mean FROM fit_terms),
+steps AS (SELECT 1 AS k, m FROM moments UNION ALL
+    SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / m[k][k])
+        ELSE list_transform(r, lambda v, j: v - r[k] / m[k][k] * m[k][j]) END) FROM steps WHERE k <= {len(names)}),
+solved AS (SELECT list_transform(m, lambda r: r[{len(names) + 1}]) AS w FROM steps WHERE k = {len(names) + 1}),
+fitted AS (SELECT unnest([{listed}]) AS term, unnest(list_transform(w, lambda v, i: v / [{scales}][i])) AS weight FROM solved
+    UNION ALL SELECT 'intercept', mean - list_inner_product(w, means) FROM solved, moments)"""
+
+
+_PREDICTED = "predicted AS (SELECT s.*, (SELECT weight FROM fitted WHERE term = 'intercept') + " + " + ".join(
+    f"(SELECT weight FROM fitted WHERE term = '{n}') * ({sql})" for n, sql in _TERM_SQL.items()) + " AS prediction FROM scored s)"
 
 _PROFILES = """
 grams AS (SELECT lang, substring(t, i::INT, 3) AS gram, count(*) AS n FROM (
@@ -364,11 +393,11 @@ def all_oracles() -> dict[str, str]:
     out["stat_gram_matrix"] = f"""WITH {_SCORED},
         scaled AS (SELECT {scaled}, planted AS label FROM scored WHERE {whole}),
         terms AS MATERIALIZED (SELECT {full} FROM scaled) {cells}"""
-    planted = ", ".join(
-        f"('{n}', {k}::DOUBLE)" for n, k in [("intercept", PLANTED_INTERCEPT), *zip(_TERM_SQL, PLANTED_COEFFICIENTS)])
-    out["model_quality_fit"] = f"SELECT term, round(weight, 5) AS weight FROM (VALUES {planted}) v(term, weight)"
-    out["model_quality_predict"] = f"WITH {_SCORED} SELECT row_id, round(planted, 3) AS prediction FROM scored"
-    out["model_quality_evaluate"] = f"WITH {_SCORED} SELECT round(corr(planted, planted), 6) AS pearson FROM scored"
+    out["model_quality_fit"] = f"WITH RECURSIVE {_SCORED}, {_fit('true')} SELECT term, round(weight, 5) AS weight FROM fitted"
+    out["model_quality_predict"] = f"""WITH RECURSIVE {_SCORED}, {_fit('true')}, {_PREDICTED}
+        SELECT row_id, round(prediction, 3) AS prediction FROM predicted"""
+    out["model_quality_evaluate"] = f"""WITH RECURSIVE {_SCORED}, {_fit(_TRAIN)}, {_PREDICTED}
+        SELECT round(corr(planted, prediction), 6) AS pearson FROM predicted WHERE NOT ({_TRAIN})"""
     out["stat_pearson"] = f"WITH {_SCORED} SELECT round(corr(planted + noise, wer), 6) AS pearson FROM scored"
 
     out["job_learn_subwords_char"] = _vocabulary(f"""SELECT c AS piece, count(*) AS n FROM (
@@ -390,6 +419,7 @@ def all_oracles() -> dict[str, str]:
     out["win_fixed_batches"] = f"""{p} SELECT row_id, (row_number() OVER (ORDER BY row_id) - 1) // 30 AS batch_id FROM pairs"""
     best = """SELECT conv_id, turn, -length(text) AS score, row_number() OVER (
         PARTITION BY conv_id ORDER BY -length(text) DESC, turn) AS rank FROM conversations QUALIFY rank <= 5"""
+    out["job_exact_batches"] = f"""{p} SELECT row_id, ((row_number() OVER (ORDER BY row_id) - 1) % 30)::DOUBLE AS place FROM pairs"""
     out["topk_nbest"] = best
     out["topk_nbest_arrays"] = f"SELECT conv_id, rank - 1 AS place, turn, score FROM ({best})"
     out["lookup_phrase_table"] = f"""{p}, {_PHRASES}, {_PLACES}
@@ -400,7 +430,7 @@ def all_oracles() -> dict[str, str]:
         done AS (SELECT row_id, i, CASE WHEN length(own) < 5 THEN own ELSE coalesce(replacement, seen, '<unk>') END AS w
                  FROM places LEFT JOIN phrases ON token = seen),
         sents AS (SELECT row_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS forth,
-                         string_agg(w, ' ' ORDER BY i DESC) AS back FROM done GROUP BY row_id HAVING count(*) <= 300)
+                         string_agg(w, ' ' ORDER BY i DESC) AS back FROM done GROUP BY row_id)
         SELECT row_id, 0 AS rank, forth AS sent, -n::DOUBLE AS score FROM sents
         UNION ALL SELECT row_id, 1, back, -n::DOUBLE - 1 FROM sents"""
     return out

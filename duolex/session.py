@@ -8,6 +8,9 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# Bytes of a table that may be sent to every executor.
+BROADCAST_BYTES = 128 << 20
+
 _RUN_ID = uuid.uuid4().hex[:12]
 
 
@@ -38,10 +41,14 @@ def _own_folder() -> str:
 def work_dir(spark: SparkSession) -> str:
     """This run's folder under the cluster's shared checkpoint folder.
 
-    `spark.checkpoint.dir` names the folder. Only where it is unset, as in a
-    local test, a temporary folder takes its place.
+    `spark.checkpoint.dir` names the folder, or `setCheckpointDir` did. Only a local session without
+    either gets a temporary folder; on a cluster each machine would see its own, so that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("name a folder that all machines share in spark.checkpoint.dir")
+        base = _own_folder()
     return f"{base.rstrip('/')}/duolex-{_RUN_ID}"
 
 
@@ -59,13 +66,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(staged: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """A staged table of narrow rows, marked for broadcast if it has at most `max_rows`.
+def broadcast_bytes(staged: DataFrame) -> int:
+    """What the rows of a staged table of plain columns take in memory: lengths of texts, 8 bytes a number, 16 a row."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) for name, kind in staged.dtypes if kind in ("string", "binary")]
+    fixed = F.lit(16 + 8 * len(staged.columns))
+    each = sum(texts, fixed).cast("bigint")
+    return staged.agg(F.coalesce(F.sum(each), F.lit(0))).first()[0]
+
+
+def small_side(staged: DataFrame, max_rows: int = 2_000_000, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A staged table of plain columns, marked for broadcast up to `max_rows` rows and `max_bytes` bytes.
 
-    The count comes from the file footers. A larger table is returned as it is
-    and joins by shuffle, where a heavy key is split at run time.
+    The count comes from the file footers, the bytes from a pass over a table that is small by then. A
+    larger one is returned as it is and joins by shuffle, where a heavy key is split at run time.
     """
-    return F.broadcast(staged) if staged.count() <= max_rows else staged
+    fits = staged.count() <= max_rows and broadcast_bytes(staged) <= max_bytes
+    return F.broadcast(staged) if fits else staged
+
+
+def delete_staged(staged: DataFrame) -> None:
+    """Delete the files of one staged table that is not read any more."""
+    spark = staged.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if f"/duolex-{_RUN_ID}/" in f"{folder}/":
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_staged(spark: SparkSession) -> None:

@@ -21,12 +21,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out when there are fewer input files than task slots.
+    """Deal the rows out when they come in fewer partitions than there are task slots.
 
-    A table of many files is left as it is.
+    A table that splits into enough of them, by files or by blocks, is left as it is.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= slots else df.repartition(2 * slots)
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(2 * slots)
 
 
 def line_pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,7 +102,10 @@ def translations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    """Translations with their measures and two judges whose mean is the planted quadratic."""
+    """Translations with their measures and two judges whose mean is the planted quadratic and an error.
+
+    The judges differ by `noise`, which their mean loses, and err alike by `error`, which it keeps.
+    """
     feats = translations(spark, folder).select(
         "row_id", "source", "translation",
         metrics.wer("source", "translation").alias("wer"),
@@ -115,7 +118,8 @@ def scored(spark: SparkSession, folder: str) -> DataFrame:
     for k, term in zip(PLANTED_COEFFICIENTS, terms):
         planted = planted + F.lit(k) * term
     noise = (F.col("row_id") % 7 - 3) / 4.0
-    return feats.withColumn("planted", planted).select(
+    error = (F.col("row_id") * 37 % 101 - 50) / 25.0
+    return feats.withColumn("planted", planted + error).select(
         "row_id", "source", "translation", "wer", "cer", "f_score",
         (F.col("planted") + noise).alias("evaluator1 scores"),
         (F.col("planted") - noise).alias("evaluator2 scores"),

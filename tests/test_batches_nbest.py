@@ -51,8 +51,8 @@ def load_random():
 
 def test_translate_ranks_and_fills(spark):
     df = spark.createDataFrame([(0, "left right"), (1, "solo")], "row_id long, src string")
-    out = {r["row_id"]: r["translation"] for r in nbest.translate(df, load, n_best=5, max_length=8).collect()}
-    assert [c["sent"] for c in out[0]] == ["a right left"]
+    out = {r["row_id"]: r["translation"] for r in nbest.translate(df, load, n_best=5).collect()}
+    assert [c["sent"] for c in out[0]] == ["x x x x x x x x x x", "a right left"]
     assert [c["sent"] for c in out[1]] == ["x x x x", "a <unk> solo"]
     assert out[1][0]["src"] == "solo" and out[1][1]["attn"][2] == [0.9, 0.1] and out[1][1]["score"] == -1.0
     assert len(nbest.translate(df, load).filter("row_id = 1").first()["translation"]) == 1
@@ -78,6 +78,33 @@ def test_exact_batches_do_not_depend_on_layout(spark):
     assert [s for _, _, s in runs[0]] == [30.0] * 90 + [5.0] * 5
 
 
+def test_exact_batches_load_once_per_task(spark):
+    loads = spark.sparkContext.accumulator(0)
+
+    def load_counted():
+        loads.add(1)
+        return load_random()
+
+    df = spark.range(3000).select(F.col("id").alias("row_id"), F.lit("s").alias("src"))
+    rows = nbest.translate(df, load_counted, exact_batches=True).collect()
+    assert len(rows) == 3000 and loads.value <= 32
+
+
+def test_long_sources_keep_their_candidates(spark):
+    df = spark.createDataFrame([(0, "x " * 5000), (1, "y")], "row_id long, src string")
+    long = lambda: lambda sources: [[(s.split(), [], 0.0)] for s in sources]
+    assert [len(r["translation"]) for r in nbest.translate(df, long).collect()] == [1, 1]
+
+
+def test_running_sum_over_many_levels(spark):
+    ids = spark.range(3000).selectExpr("id * id as k", "id % 7 as v")
+    rows = batches.running_sum(ids, F.col("v"), "k", "s", width=3).orderBy("k").collect()
+    total = 0
+    for r in rows:
+        total += r["v"]
+        assert r["s"] == total
+
+
 def test_batches_fill_up_across_arrow_batches(spark):
     df = spark.range(100).coalesce(1).select(F.col("id").alias("row_id"), F.lit("s").alias("src"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")

@@ -7,9 +7,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from duolex.plans.catalog import all_queries
+from duolex.plans.oracles import all_oracles
 
 TABLES = "documents benchmark labels conversations".split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+# Subpackages that may be left out are tested on their own.
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +36,7 @@ def _rows(frame):
 
 def test_oracles_name_queries():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
