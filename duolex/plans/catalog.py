@@ -262,7 +262,7 @@ def split_sentences(spark, d):
 def job_step4_sentence_split(spark, d):
     tagged = derived.pairs(spark, d).withColumns({
         "reason": F.lit(None).cast("string"), "drop_stage": F.lit(None).cast("int")})
-    stamped = clean.stamp_languages(tagged, clean.first_row_languages(tagged))
+    stamped = clean.stamp_languages(tagged, clean.first_row_languages(tagged, "Filename"), "Filename")
     return clean.tag_step4(stamped).select(
         "row_id", "sent_no", "Tr1", "Tr2", "Lang1", "Lang2", "drop_stage", "reason")
 
@@ -290,7 +290,45 @@ def job_step5_language(spark, d):
 
 @query
 def job_clean_corpus(spark, d):
-    return _audit(spark, d).withColumn("inverted", F.col("inverted").cast("int"))
+    return _audit(spark, d).drop("path").withColumn("inverted", F.col("inverted").cast("int"))
+
+
+def _corpus_folder(spark: SparkSession, d: str) -> str:
+    """The pairs as TSV files in two folders, whose files have the same names."""
+    folder = _fresh(spark, "corpora")
+    rows = derived.pairs(spark, d).withColumn("part", F.pmod(F.xxhash64("Filename"), F.lit(2)))
+    for part in (0, 1):
+        sinks.write_tsv(rows.filter(F.col("part") == part).select(*corpus.CORPUS_COLUMNS).repartition(3, "File", "Lang1", "Lang2"),
+                        f"{folder}/{part}", header=False)
+        _rename_files(spark, f"{folder}/{part}")
+    return folder
+
+
+def _rename_files(spark: SparkSession, folder: str) -> None:
+    """Gives a folder's part files the names corpus-0.csv, corpus-1.csv, ..."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in store.listStatus(path(folder)) if f.getPath().getName().startswith("part-"))
+    for n, name in enumerate(names):
+        store.rename(path(f"{folder}/{name}"), path(f"{folder}/corpus-{n}.csv"))
+
+
+@query
+def job_read_folders(spark, d):
+    """Pairs per text over files of the same name in two folders; ids must tell all rows apart."""
+    rows = corpus.read_corpus(spark, f"{_corpus_folder(spark, d)}/*")
+    return rows.groupBy("Tr1", "Tr2", "Lang1", "Lang2").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("row_id").alias("ids"))
+
+
+@query
+def job_translate_folders(spark, d):
+    """Translation of files of the same name in two folders; each result must belong to its own source."""
+    rows = corpus.read_corpus(spark, f"{_corpus_folder(spark, d)}/*").select("row_id", F.col("Tr1").alias("src"))
+    done = nbest.translate(rows, load_copier, phrase_table=_phrases(spark, d))
+    return rows.join(done.withColumnRenamed("src", "asked"), "row_id").groupBy("src", "asked").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.col("translation")[0]["sent"]).alias("least"),
+        F.max(F.col("translation")[0]["sent"]).alias("most"))
 
 
 # -- quality ------------------------------------------------------------------

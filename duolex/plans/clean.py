@@ -20,15 +20,18 @@ from duolex.sources.sinks import write_final_tsv, write_routed, write_tsv
 STEPS = ["Step_1", "Step_2", "Step_3(1)", "Step_4", "Step_3(2)", "Step_5"]
 
 TO_DELETE = ["equal", "duplicate", "ratio_delete", "sentence_count", "language"]
-AUDIT_COLUMNS = ["Filename", "row_id", "sent_no", "File", "Tr1", "Tr2", "Lang1", "Lang2",
+AUDIT_COLUMNS = ["path", "Filename", "row_id", "sent_no", "File", "Tr1", "Tr2", "Lang1", "Lang2",
                  "drop_stage", "reason", "inverted", "route"]
 
 
 def prepare(df: DataFrame) -> DataFrame:
-    """Per-row facts the later passes need without the texts: equal sides, key, first ratio."""
+    """Per-row facts the later passes need without the texts: equal sides, key, first ratio.
+
+    A file is told by `path`; a frame without one has files of distinct names.
+    """
     c1, c2 = clean_pair("Tr1", "Tr2")
     return df.select(
-        "Filename", "row_id", "File", "Tr1", "Tr2", "Lang1", "Lang2",
+        F.col("path" if "path" in df.columns else "Filename").alias("path"), "Filename", "row_id", "File", "Tr1", "Tr2", "Lang1", "Lang2",
         equal_pair("Tr1", "Tr2").alias("is_equal"),
         text_key("Tr1", "Tr2").alias("text_key"),
         length_ratio(c1, c2).alias("ratio_1"),
@@ -37,7 +40,7 @@ def prepare(df: DataFrame) -> DataFrame:
 
 def tag_step1(prepared: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Step 1: equal sides, then later copies of a pair within its file."""
-    keys = ["Filename", "text_key"]
+    keys = ["path", "text_key"]
     if repeated is None:
         repeated = repeated_keys(prepared.filter("not is_equal"), keys, "row_id")
     tagged = tag_later_copies(prepared, repeated, keys, "row_id")
@@ -66,7 +69,7 @@ def tag_step3(df: DataFrame, stage_no: int, label=None) -> DataFrame:
     return df.withColumns({"reason": reason, "drop_stage": drop})
 
 
-def first_row_languages(df: DataFrame, within: str = "Filename", order: str = "row_id") -> DataFrame:
+def first_row_languages(df: DataFrame, within: str = "path", order: str = "row_id") -> DataFrame:
     """Language pair of the first row of each file; `order` is unique within a file.
 
     The first place is a plain minimum, kept in a hash table per task; its row is
@@ -77,7 +80,7 @@ def first_row_languages(df: DataFrame, within: str = "Filename", order: str = "r
         within, F.col("Lang1").alias("first1"), F.col("Lang2").alias("first2"))
 
 
-def stamp_languages(df: DataFrame, first: DataFrame, within: str = "Filename") -> DataFrame:
+def stamp_languages(df: DataFrame, first: DataFrame, within: str = "path") -> DataFrame:
     """Every live row gets the language pair of its file."""
     live = F.col("drop_stage").isNull() if "drop_stage" in df.columns else F.lit(True)
     return df.join(first, within, "left").withColumns({
@@ -111,7 +114,7 @@ def tag_step5(df: DataFrame, profiles: DataFrame, **options) -> DataFrame:
     live = F.col("drop_stage").isNull()
     asked = df.withColumns({"_t1": F.when(live, F.col("Tr1")), "_t2": F.when(live, F.col("Tr2"))})
     found = predict_languages(asked, {"found1": "_t1", "found2": "_t2"}, profiles,
-                              ["Filename", "row_id", "sent_no"], **options)
+                              ["row_id", "sent_no"], **options)
     return apply_language_verdict(found).drop("_t1", "_t2")
 
 
@@ -146,7 +149,7 @@ def with_route(df: DataFrame) -> DataFrame:
 def find_repeated(prepared: DataFrame) -> DataFrame:
     """Keys of pairs that occur again in their file, staged."""
     alive = prepared.filter("not is_equal")
-    return stage(repeated_keys(alive, ["Filename", "text_key"], "row_id"), "repeated")
+    return stage(repeated_keys(alive, ["path", "text_key"], "row_id"), "repeated")
 
 
 def through_step2(prepared: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -168,7 +171,7 @@ def audit_of(prepared: DataFrame, repeated: DataFrame, profiles: DataFrame, **op
 
 
 def clean_corpus(df: DataFrame, profiles: DataFrame, **options) -> DataFrame:
-    """Audit of a corpus frame with Filename, row_id and the five corpus columns.
+    """Audit of a corpus frame with Filename, row_id and the five corpus columns; `row_id` is unique.
 
     The rows are staged once with their facts. Narrow passes over the facts
     yield two small tables (repeated pairs, languages of a file); one wide pass
@@ -185,13 +188,15 @@ def after_step4(audit: DataFrame) -> DataFrame:
         return F.when(F.col("inverted"), F.col(other)).otherwise(F.col(this)).alias(this)
 
     return audit.filter("drop_stage is null or drop_stage > 4").select(
-        "Filename", "row_id", "sent_no", "File",
+        "path", "Filename", "row_id", "sent_no", "File",
         side("Tr1", "Tr2"), side("Tr2", "Tr1"), side("Lang1", "Lang2"), side("Lang2", "Lang1"))
 
 
-def step_table(audit: DataFrame) -> DataFrame:
+def step_table(audit: DataFrame, with_path: bool = False) -> DataFrame:
     """Rows alive after each step, per file, from one aggregate over the audit.
 
+    Files of one name have a line each; `with_path` tells them apart.
+
     Up to Step 3 rows are the input rows, from Step 4 on they are sentences.
     """
     head = F.col("sent_no") == 0
@@ -201,10 +206,10 @@ def step_table(audit: DataFrame) -> DataFrame:
         rows = gone > no if no >= 4 else head & (gone > no)
         return F.count(F.when(rows, 1)).alias(name)
 
-    return audit.groupBy("Filename").agg(
+    return audit.groupBy("path", "Filename").agg(
         F.count(F.when(head, 1)).alias("Original"),
         *[alive(name, no) for no, name in enumerate(STEPS, 1)],
-    )
+    ).select(*(["path"] if with_path else []), "Filename", "Original", *STEPS)
 
 
 def route_counts(audit: DataFrame) -> DataFrame:
@@ -227,7 +232,7 @@ def clean_folder(spark: SparkSession, source: str, target: str, profiles: DataFr
     audit = spark.read.schema(audit.schema).parquet(f"{target}/audit")
     write_routed(audit, f"{target}/routes", fmt)
     through_step2(prepared, repeated).filter("drop_stage is null").select(
-        "Filename", "row_id", *CORPUS_COLUMNS).write.parquet(f"{target}/steps/step_2")
+        "path", "Filename", "row_id", *CORPUS_COLUMNS).write.parquet(f"{target}/steps/step_2")
     after_step4(audit).write.parquet(f"{target}/steps/step_4")
     write_final_tsv(audit, f"{target}/final")
     counts = step_table(audit)

@@ -420,6 +420,12 @@ def all_oracles() -> dict[str, str]:
     best = """SELECT conv_id, turn, -length(text) AS score, row_number() OVER (
         PARTITION BY conv_id ORDER BY -length(text) DESC, turn) AS rank FROM conversations QUALIFY rank <= 5"""
     out["job_exact_batches"] = f"""{p} SELECT row_id, ((row_number() OVER (ORDER BY row_id) - 1) % 30)::DOUBLE AS place FROM pairs"""
+    # A file keeps no difference between an empty field and none, and reading strips nothing else.
+    out["job_read_folders"] = f"""{p} SELECT Tr1, Tr2, Lang1, Lang2, count(*) AS n, count(*) AS ids FROM pairs GROUP BY ALL"""
+    out["job_translate_folders"] = f"""{p}, {_PHRASES}, {_PLACES},
+        done AS (SELECT row_id, string_agg(CASE WHEN length(own) < 5 THEN own ELSE coalesce(replacement, seen, '<unk>') END, ' ' ORDER BY i) AS sent
+                 FROM places LEFT JOIN phrases ON token = seen GROUP BY row_id)
+        SELECT Tr1 AS src, Tr1 AS asked, count(*) AS n, min(sent) AS least, max(sent) AS most FROM pairs JOIN done USING (row_id) GROUP BY Tr1"""
     out["topk_nbest"] = best
     out["topk_nbest_arrays"] = f"SELECT conv_id, rank - 1 AS place, turn, score FROM ({best})"
     out["lookup_phrase_table"] = f"""{p}, {_PHRASES}, {_PLACES}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+
+from duolex.session import small_side, stage
 
 # Column names of the input files.
 CORPUS_COLUMNS = ["File", "Tr1", "Tr2", "Lang1", "Lang2"]
@@ -10,28 +12,36 @@ SCORED_COLUMNS = ["source", "translation", "evaluator1 scores", "evaluator2 scor
 
 CORPUS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CORPUS_COLUMNS])
 
-_ORDINAL_BITS = 33
-_BLOCK_UNIT = 65536
+# Rows of one file that an id has room for; the number of the file stands above them.
+FILE_BITS = 38
 
 
-def file_row_id() -> Column:
-    """Order of a row within its file: the block it was read from, then its place there.
+def number_rows(staged: DataFrame) -> DataFrame:
+    """Turns path, _block, _ordinal into `row_id`: number of the file by path, then place in the file.
 
-    Blocks of one file start at least `_BLOCK_UNIT` bytes apart. Ids are unique
-    per file, not across files. Stage the frame before it is read twice: how
-    files are packed into partitions may change between two scans.
+    Unique over all files and in their order. A block's rows lie together in the order read, so its size
+    and first ordinal are enough; one row per block is summed up, and the texts do not move while that
+    table fits a broadcast.
     """
-    block = F.col("_metadata.file_block_start")
-    ordinal = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ORDINAL_BITS) - 1))
-    return F.shiftleft(F.floor(block / F.lit(_BLOCK_UNIT)), _ORDINAL_BITS).bitwiseOR(ordinal)
+    blocks = staged.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("_ordinal").alias("first"))
+    before = W.partitionBy("path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    starts = blocks.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # As many rows as files, whose names Spark's own listing holds in the driver already.
+    files = blocks.select("path").distinct().withColumn("file", F.row_number().over(W.orderBy("path")) - 1)
+    placed = stage(starts.join(files, "path").select(
+        "path", "_block", (F.shiftleft(F.col("file").cast("bigint"), FILE_BITS) + F.col("start") - F.col("first")).alias("_shift")),
+        "blocks")
+    return staged.join(small_side(placed), ["path", "_block"]).withColumn(
+        "row_id", F.col("_ordinal") + F.col("_shift")).drop("_block", "_ordinal", "_shift")
 
 
 def read_corpus(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Every header-less TSV file in a folder as one frame.
+    """Every header-less TSV file in a folder, or several, as one frame.
 
-    Adds `Filename` and `row_id`. An empty field is a missing value. With
-    `multiline` a quoted field may hold newlines and a file is read by one task;
-    turn it off for big files without such fields, which are then read in blocks.
+    Adds `path`, `Filename` (the bare name, which files of two folders may share) and `row_id`, unique
+    over all files. An empty field is a missing value. With `multiline` a quoted field may hold newlines
+    and a file is read by one task; turn it off for big files without such fields, which are then read in
+    blocks. The rows are staged, as how files are packed into tasks may change from scan to scan.
     """
     raw = (
         spark.read.schema(CORPUS_SCHEMA)
@@ -39,11 +49,14 @@ def read_corpus(spark: SparkSession, path: str, multiline: bool = True) -> DataF
         .option("multiLine", multiline)
         .csv(path)
     )
-    return raw.select(
+    rows = raw.select(
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("Filename"),
-        file_row_id().alias("row_id"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_ordinal"),
         *[F.nullif(F.col(c), F.lit("")).alias(c) for c in CORPUS_COLUMNS],
     )
+    return number_rows(stage(rows, "corpus-rows")).select("path", "Filename", "row_id", *CORPUS_COLUMNS)
 
 
 def read_scored(spark: SparkSession, path: str) -> DataFrame:

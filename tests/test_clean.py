@@ -120,3 +120,22 @@ def test_empty_corpus(spark, profiles):
     schema = "Filename string, row_id long, File string, Tr1 string, Tr2 string, Lang1 string, Lang2 string"
     audit = clean.clean_corpus(spark.createDataFrame([], schema), profiles)
     assert audit.count() == 0 and clean.step_table(audit).count() == 0
+
+
+def test_folders_with_files_of_one_name(spark, tmp_path):
+    import random
+
+    rng = random.Random(2)
+    lines = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(6)) for _ in range(8)]
+    for folder, pair in (("a", "en\tfr"), ("b", "de\tes")):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "x.tsv").write_text("".join(f"f\t{x}\t{x[::-1]}\t{pair}\n" for x in lines))
+    df = clean.read_corpus(spark, f"{tmp_path}/in/*")
+    profiles = langid.train_profiles(spark.createDataFrame([("abc abc", "en"), ("xyz", "fr")], "text string, lang string"), "text", "lang")
+    audit = clean.clean_corpus(df, profiles)
+    assert audit.count() == audit.select("row_id").distinct().count() == 16
+    assert audit.filter("reason = 'duplicate'").count() == 0
+    counts = clean.step_table(audit, with_path=True).collect()
+    assert len(counts) == 2 and all(r["Original"] == 8 and r["Filename"] == "x.tsv" for r in counts)
+    stamped = {(r["path"].split("/")[-2], r["Lang1"]) for r in audit.filter("not inverted").collect()}
+    assert stamped <= {("a", "en"), ("b", "de")}

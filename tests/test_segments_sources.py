@@ -69,7 +69,7 @@ def test_corpus_file_quoting(spark, tmp_path):
     (tmp_path / "a.tsv").write_text(
         'f\t"two\nlines"\t"say ""hi"""\ten\tfr\nf\t  outer blanks \tback\\slash\ten\t\nf\tNA\tnull\ten\tfr\n', encoding="utf-8")
     rows = corpus.read_corpus(spark, str(tmp_path)).orderBy("row_id").collect()
-    assert [tuple(r)[2:] for r in rows] == [
+    assert [tuple(r)[3:] for r in rows] == [
         ("f", "two\nlines", 'say "hi"', "en", "fr"), ("f", "  outer blanks ", "back\\slash", "en", None),
         ("f", "NA", "null", "en", "fr")]
     assert {r["Filename"] for r in rows} == {"a.tsv"}
@@ -116,3 +116,25 @@ def test_rows_on_a_stream(spark, tmp_path):
     q.awaitTermination(120)
     assert [tuple(r) for r in spark.table("rows_out").collect()] == [("through", "a")]
     assert english_formalize("x") is not None
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    for folder in "ab":
+        (tmp_path / folder).mkdir()
+        for name in ("x.tsv", "y.tsv"):
+            (tmp_path / folder / name).write_text("".join(f"f\t{folder}{name}{i}\tt{i}\ten\tfr\n" for i in range(3)))
+    rows = corpus.read_corpus(spark, f"{tmp_path}/*").orderBy("row_id").collect()
+    assert [r["Tr1"] for r in rows] == [f"{d}{n}{i}" for d in "ab" for n in ("x.tsv", "y.tsv") for i in range(3)]
+    assert len({r["row_id"] for r in rows}) == 12 and len({r["path"] for r in rows}) == 4
+
+
+def test_ids_over_many_blocks(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        for f in "ab":
+            (tmp_path / f"{f}.tsv").write_text("".join(f"f\t{i}\tx\ten\tfr\n" for i in range(2000)))
+        rows = corpus.read_corpus(spark, str(tmp_path), multiline=False).orderBy("row_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [int(r["Tr1"]) for r in rows] == [*range(2000), *range(2000)]
+    assert [r["row_id"] for r in rows] == [*range(2000), *((1 << corpus.FILE_BITS) + i for i in range(2000))]
