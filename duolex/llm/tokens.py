@@ -8,13 +8,14 @@ tokenizer in one call per batch.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 # Chunks of at most MAX_KEPT characters are kept, in two generations of CACHE_CHUNKS each.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000
 MAX_KEPT = 48
 # Characters of text that are split and looked up at once.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 
 # Latin letters without combining marks, whose lower case is one character each, and ASCII without most controls.
 _UNUSUAL = "[^\t-\r -~\u00a1-\u012f]"
@@ -104,18 +105,17 @@ class WordEncoder:
         ids = dict(zip(distinct, self._plain(distinct)))
         return b"".join([ids[c] for c in chunks])
 
-    def encode(self, texts) -> list[bytes]:
+    def encode(self, texts) -> Iterator[bytes]:
         """Ids of each text of an Arrow string array, about BATCH_CHARS characters at a time."""
         import numpy as np
         import pyarrow.compute as pc
 
         sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-        out, at = [], 0
+        at = 0
         while at < len(texts):
             end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_CHARS)))
-            out += self._encode(texts.slice(at, end - at))
+            yield from self._encode(texts.slice(at, end - at))
             at = end
-        return out
 
     def _encode(self, texts) -> list[bytes]:
         import numpy as np

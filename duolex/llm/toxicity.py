@@ -15,6 +15,8 @@ SAMPLE = 20_000
 # Words or word beginnings of the learned lexicon; each must occur in LEAST toxic texts of the sample.
 TERMS, LEAST, LEAST_WEIGHT = 5000, 3, 2.0
 PREFIXES = (4, 5, 6)
+# Terms that a task counts before it hands them on.
+HELD_TERMS = 100_000
 TREES, DEPTH, STEP = 24, 3, 0.3
 WINDOW, NEAR = 20, 3
 SEED = 11
@@ -53,7 +55,7 @@ def _terms(word: bytes) -> list[bytes]:
 class Weights(dict):
     """Weight of a word, the largest of its own and its beginnings'; words met are kept, up to a bound."""
 
-    def __init__(self, terms: dict[bytes, float], most: int = 300_000):
+    def __init__(self, terms: dict[bytes, float], most: int = 100_000):
         super().__init__()
         self.terms, self.most = terms, most
 
@@ -104,21 +106,27 @@ def features(text: str | None, weights: Weights, insults: frozenset, second: fro
 
 
 def _count_terms(batches: Iterator) -> Iterator:
-    """Texts per term and label of a task."""
+    """Texts per term and label of a task, handed on whenever many terms have come up."""
     import pyarrow as pa
     from collections import Counter
 
-    counts = {0: Counter(), 1: Counter()}
+    toxic_in, clean_in = Counter(), Counter()
+
+    def rows():
+        names = list(toxic_in | clean_in)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.binary()), pa.array([toxic_in[t] for t in names], pa.int64()),
+             pa.array([clean_in[t] for t in names], pa.int64())], ["term", "toxic", "clean"])
+
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
             words = set((text.as_py() or "").encode("utf-8", "replace").translate(_FOLD).split())
-            counts[toxic].update({t for w in words for t in _terms(w)})
-    names = sorted(set(counts[0]) | set(counts[1]))
-    for at in range(0, len(names), 100_000):
-        some = names[at:at + 100_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.binary()), pa.array([counts[1][t] for t in some], pa.int64()),
-             pa.array([counts[0][t] for t in some], pa.int64())], ["term", "toxic", "clean"])
+            (toxic_in if toxic else clean_in).update({t for w in words for t in _terms(w)})
+            if len(toxic_in) + len(clean_in) > HELD_TERMS:
+                yield rows()
+                toxic_in.clear()
+                clean_in.clear()
+    yield rows()
 
 
 def learn_terms(texts: DataFrame) -> dict[bytes, float]:
