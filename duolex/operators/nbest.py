@@ -49,7 +49,7 @@ def predict_candidates(df: DataFrame, src: str, order: str, load: Callable[[], P
     rows = df.select(F.col(order).cast("bigint").alias(order), F.col(src).alias("src"))
 
     def frame(part: pd.DataFrame, predict: Predictor) -> pd.DataFrame:
-        found = _seeded(predict, part["src"].tolist(), seed)
+        found = _seeded(predict, part["src"].fillna("").tolist(), seed)
         return pd.DataFrame({order: part[order].to_numpy(), "src": part["src"].to_numpy(), "candidates": found})
 
     if exact_batches:
@@ -156,7 +156,8 @@ def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", or
     """order, src, translation: the `n_best` candidates per row as an array of
     `(src, sent, attn, score)`, best first. Sort by `order` where it matters.
 
-    Every row gives a result with all that its predictor found, however long.
+    Every row gives a result with all that its predictor found, however long; a
+    missing source reaches it as an empty one and stays missing in the result.
     Limits on length are the predictor's: bind them in `load`.
 
     Candidates of a row stay in its row, so ranking them moves nothing.
@@ -168,7 +169,7 @@ def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", or
         .when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0),
     )
     best = found.withColumn("candidates", F.transform(F.slice(ranked, 1, n_best), lambda r: r["c"]))
-    source_tokens = F.split("src", " ", -1)
+    source_tokens = F.split(F.coalesce("src", F.lit("")), " ", -1)
 
     def result(c: Column, tokens: Column) -> Column:
         return F.struct(F.col("src").alias("src"), F.array_join(tokens, " ").alias("sent"),

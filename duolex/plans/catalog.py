@@ -509,7 +509,7 @@ def _phrases(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def lookup_phrase_table(spark, d):
-    source = F.split("src", " ", -1)
+    source = F.split(F.coalesce("src", F.lit("")), " ", -1)
     tokens = F.transform(F.col("source_tokens"), lambda t, i: F.when(i % 3 == 0, nbest.UNKNOWN).otherwise(t))
     rows = _segments(spark, d).select("row_id", source.alias("source_tokens")).withColumn("tokens", tokens)
     rows = rows.withColumn("attn", _attend(F.col("tokens")))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from duolex.functions.text import WHITESPACE
-from duolex.operators.routing import MISSING_TOKEN, SUPPORTED_LANGS
 from duolex.sources.derived import PLANTED_COEFFICIENTS, PLANTED_INTERCEPT
 
+# Fixed values, written out here so that a wrong one in the engine shows.
+WHITESPACE = r"\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+MISSING_TOKEN = "[[[@@@MISSING_TRANSLATION@@@]]]"
+SUPPORTED_LANGS = ["en", "lv", "de", "cs", "lt", "hu", "it", "sv", "el", "es", "fi", "fr"]
+
 _WS = f"[{WHITESPACE}]+"
 _MARK = "chr(9601)"
 
@@ -14,10 +17,10 @@ _MARK = "chr(9601)"
 _BASE = """
 seg AS (SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS s,
                generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
-base AS (SELECT a.doc_id, a.pos, a.source AS File, a.s AS t1, b.s AS t2, a.lang AS l1, b.lang AS l2,
-                (a.doc_id * 7 + a.pos) % 20 AS m
-         FROM seg a JOIN seg b ON b.doc_id = a.doc_id + 1 AND b.pos = a.pos
-         WHERE trim(a.s) <> '' AND trim(b.s) <> '')"""
+base AS (SELECT a.doc_id, a.pos, a.source AS File, a.s AS t1, CASE WHEN trim(b.s) <> '' THEN b.s END AS t2,
+                a.lang AS l1, coalesce(n.lang, a.lang) AS l2, (a.doc_id * 7 + a.pos) % 20 AS m
+         FROM seg a LEFT JOIN documents n ON n.doc_id = a.doc_id + 1
+         LEFT JOIN seg b ON b.doc_id = a.doc_id + 1 AND b.pos = a.pos WHERE trim(a.s) <> '')"""
 
 _PAIRS = _BASE + """,
 pairs AS (SELECT (doc_id * 1048576 + pos) * 2 + c.copy AS row_id, File || '_' || l1 || '_' || l2 AS Filename, File,
@@ -134,11 +137,12 @@ sides AS (SELECT id, 1 AS side, lower(Tr1) AS t FROM {rows} UNION ALL SELECT id,
 side_grams AS (SELECT id, side, substring(t, i::INT, 3) AS gram FROM (
                  SELECT id, side, t, unnest(range(1, length(t) - 1)) AS i FROM sides)),
 gains AS (SELECT id, side, lang, sum(weight - unseen) AS gain FROM side_grams JOIN profiles USING (gram) GROUP BY ALL),
-side_n AS (SELECT id, side, greatest(length(t) - 2, 0) AS n FROM sides),
+side_n AS (SELECT id, side, CASE WHEN t IS NOT NULL THEN greatest(length(t) - 2, 0) END AS n FROM sides),
 totals AS (SELECT s.id, s.side, l.lang, s.n * l.unseen + coalesce(g.gain, 0) AS total
            FROM side_n s CROSS JOIN langs l
            LEFT JOIN gains g ON g.id = s.id AND g.side = s.side AND g.lang = l.lang),
-best AS (SELECT id, side, first(lang ORDER BY total DESC, lang) AS lang FROM totals GROUP BY ALL),
+best AS (SELECT id, side, CASE WHEN max(total) IS NOT NULL THEN first(lang ORDER BY total DESC, lang) END AS lang
+         FROM totals GROUP BY id, side),
 found AS (SELECT a.id, a.lang AS found1, b.lang AS found2 FROM best a JOIN best b ON a.id = b.id
           WHERE a.side = 1 AND b.side = 2)"""
 
@@ -147,11 +151,11 @@ _L = ", ".join(f"'{x}'" for x in SUPPORTED_LANGS)
 _VERDICT = f"""CASE
   WHEN Lang1 IN ({_L}) AND Lang2 IN ({_L}) THEN
     CASE WHEN found1 = Lang2 AND found2 = Lang1 THEN 'swap'
-         WHEN found1 <> Lang1 OR found2 <> Lang2 THEN 'delete' ELSE 'keep' END
+         WHEN coalesce(found1 <> Lang1 OR found2 <> Lang2, true) THEN 'delete' ELSE 'keep' END
   WHEN Lang1 IN ({_L}) THEN
-    CASE WHEN found1 = Lang2 THEN 'swap' WHEN found1 <> Lang1 THEN 'delete' ELSE 'keep' END
+    CASE WHEN found1 = Lang2 THEN 'swap' WHEN coalesce(found1 <> Lang1, true) THEN 'delete' ELSE 'keep' END
   WHEN Lang2 IN ({_L}) THEN
-    CASE WHEN found2 = Lang1 THEN 'swap' WHEN found1 <> Lang1 OR found2 <> Lang2 THEN 'delete' ELSE 'keep' END
+    CASE WHEN found2 = Lang1 THEN 'swap' WHEN coalesce(found1 <> Lang1 OR found2 <> Lang2, true) THEN 'delete' ELSE 'keep' END
   ELSE 'keep' END"""
 
 
@@ -270,9 +274,11 @@ phrases AS (SELECT DISTINCT w AS token, '<' || w || '>' AS replacement FROM (
               SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM benchmark))"""
 
 # One row per output place of each segment; unknown places read the source place they attend to.
+# A missing source is an empty one.
 _PLACES = """
 places AS (SELECT row_id, src, i, string_split(src, ' ')[i + 1] AS own, string_split(src, ' ')[i % 8 + 1] AS seen
-           FROM (SELECT row_id, src, unnest(range(0, len(string_split(src, ' ')))) AS i FROM """ + _SEGMENTS + """))"""
+           FROM (SELECT row_id, src, unnest(range(0, len(string_split(src, ' ')))) AS i
+                 FROM (SELECT row_id, coalesce(Tr1, '') AS src FROM pairs)))"""
 
 
 def all_oracles() -> dict[str, str]:
@@ -336,16 +342,16 @@ def all_oracles() -> dict[str, str]:
     out["job_segment_process"] = f"""{p}, {_LINES},
         segs AS (SELECT row_id, {_informal('Tr1')} AS src, {_capitals('Tr2')} AS tgt FROM pairs)
         SELECT row_id, {_english('src')} AS src, {_spanish('tgt')} AS tgt FROM segs
-        WHERE {_VALID} AND {_STRIPPED} NOT IN (SELECT line FROM test_lines)"""
+        WHERE {_VALID} AND coalesce({_STRIPPED} NOT IN (SELECT line FROM test_lines), true)"""
     out["lookup_lexicon"] = f"""{p}, words AS (SELECT DISTINCT w FROM (
             SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM benchmark) WHERE w <> ''),
         places AS (SELECT row_id, unnest(string_split(Tr1, ' ')) AS token,
                           generate_subscripts(string_split(Tr1, ' '), 1) AS place FROM pairs)
         SELECT row_id, string_agg(CASE WHEN w IS NULL THEN token ELSE '<' || token || '>' END, ' ' ORDER BY place) AS src
-        FROM places LEFT JOIN words ON w = token GROUP BY row_id"""
+        FROM pairs LEFT JOIN places USING (row_id) LEFT JOIN words ON w = token GROUP BY row_id"""
 
     out["anti_test_lines"] = f"""{p}, {_LINES} SELECT row_id, src FROM {_SEGMENTS}
-        WHERE {_STRIPPED} NOT IN (SELECT line FROM test_lines)"""
+        WHERE coalesce({_STRIPPED} NOT IN (SELECT line FROM test_lines), true)"""
     out["semi_test_lines"] = f"""{p}, {_LINES} SELECT row_id, src FROM {_SEGMENTS}
         WHERE {_STRIPPED} IN (SELECT line FROM test_lines)"""
     out["job_decontaminate"] = f"""{p}, {_LINES} SELECT row_id,
@@ -361,7 +367,7 @@ def all_oracles() -> dict[str, str]:
         parts AS (SELECT row_id, Filename, generate_subscripts(a, 1) - 1 AS sent_no, unnest(a) AS Tr1, unnest(b) AS Tr2,
                          {_TAGGED} FROM split WHERE len(a) = len(b) AND len(a) > 0
                   UNION ALL SELECT row_id, Filename, 0, Tr1, Tr2, 4, 'sentence_count' FROM split
-                  WHERE len(a) <> len(b) OR len(a) = 0)
+                  WHERE coalesce(len(a) <> len(b) OR len(a) = 0, true))
         SELECT row_id, sent_no, Tr1, Tr2, f1 AS Lang1, f2 AS Lang2, drop_stage, reason FROM parts JOIN f USING (Filename)"""
     out["job_train_langid"] = f"WITH {_PROFILES} SELECT lang, gram, n, weight, unseen FROM profiles"
     out["job_score_langid"] = f"""{p}, {_PROFILES}, {ids}, {_found('ids')}

@@ -30,21 +30,20 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def line_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, pos, File, t1, t2, l1, l2: aligned non-blank lines of neighbours."""
+    """doc_id, pos, File, t1, t2, l1, l2: every non-blank line with its neighbour's, null where there is none.
+
+    The last document has no neighbour; its second language is its own.
+    """
     docs = spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
     following = docs.select(
         (F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("text2"), F.col("lang").alias("l2")
     )
-    zipped = F.arrays_zip(
-        F.split("text", "\n").alias("t1"), F.split("text2", "\n").alias("t2")
-    )
-    return (
-        docs.join(following, "doc_id")
-        .select("doc_id", F.col("source").alias("File"), F.col("lang").alias("l1"), "l2",
-                F.posexplode(zipped).alias("pos", "z"))
-        .select("doc_id", "pos", "File", F.col("z.t1").alias("t1"), F.col("z.t2").alias("t2"), "l1", "l2")
-        .filter((F.trim("t1") != "") & (F.trim("t2") != ""))
-    )
+    lines = docs.join(following, "doc_id", "left").select(
+        "doc_id", F.col("source").alias("File"), F.col("lang").alias("l1"), F.coalesce("l2", "lang").alias("l2"),
+        F.split("text2", "\n").alias("others"), F.posexplode(F.split("text", "\n")).alias("pos", "t1"))
+    other = F.get("others", F.col("pos"))
+    return lines.filter(F.trim("t1") != "").select(
+        "doc_id", "pos", "File", "t1", F.when(F.trim(other) != "", other).alias("t2"), "l1", "l2")
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
