@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from duolex.functions.text import ColumnOrName, as_col
+from duolex.session import small_side, stage
 
 
 def text_key(*cols: ColumnOrName) -> Column:
@@ -45,8 +46,11 @@ def tag_later_copies(df: DataFrame, repeated: DataFrame, keys: list[str], order:
 
 
 def keep_first(df: DataFrame, cols: list[str], order: str, within: list[str] | None = None) -> DataFrame:
-    """First row of each set of equal texts, per file if `within` says so."""
+    """First row of each set of equal texts, per file if `within` says so.
+
+    Repeated keys are staged; while they fit a broadcast the texts do not move.
+    """
     keys = [*(within or []), "text_key"]
     keyed = df.withColumn("text_key", text_key(*cols))
-    repeated = repeated_keys(keyed, keys, order)
+    repeated = small_side(stage(repeated_keys(keyed, keys, order), "repeated"))
     return tag_later_copies(keyed, repeated, keys, order).filter(~F.col("is_copy")).drop("text_key", "is_copy")

@@ -229,7 +229,8 @@ def lookup_lexicon(spark, d):
     words = derived.table(spark, d, "benchmark").select(
         F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ", -1)).alias("token")).distinct()
     table = words.filter("token <> ''").select("token", F.concat(F.lit("<"), F.col("token"), F.lit(">")).alias("replacement"))
-    return lexicon.lookup_lexicon(_segments(spark, d).select("row_id", "src"), "src", "row_id", table)
+    rows = stage(_segments(spark, d).select("row_id", "src"), "segments")
+    return lexicon.lookup_lexicon(rows, "src", "row_id", table)
 
 
 # -- decontamination ----------------------------------------------------------
@@ -511,7 +512,7 @@ def _phrases(spark: SparkSession, d: str) -> DataFrame:
 def lookup_phrase_table(spark, d):
     source = F.split(F.coalesce("src", F.lit("")), " ", -1)
     tokens = F.transform(F.col("source_tokens"), lambda t, i: F.when(i % 3 == 0, nbest.UNKNOWN).otherwise(t))
-    rows = _segments(spark, d).select("row_id", source.alias("source_tokens")).withColumn("tokens", tokens)
+    rows = stage(_segments(spark, d).select("row_id", source.alias("source_tokens")), "segments").withColumn("tokens", tokens)
     rows = rows.withColumn("attn", _attend(F.col("tokens")))
     done = nbest.lookup_phrase_table(rows, ["row_id"], "tokens", "attn", "source_tokens", _phrases(spark, d))
     return done.select("row_id", F.array_join("tokens", " ").alias("sent"))
