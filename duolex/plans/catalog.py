@@ -215,13 +215,35 @@ def norm_spanish_plural_abbrev(spark, d):
         "row_id", text.spanish_plural_abbreviations(_capitals("Tr1")).alias("src"))
 
 
-@query
-def job_segment_process(spark, d):
+def _process_segments(spark: SparkSession, d: str, mode: str) -> DataFrame:
     rows = _segments(spark, d).select("row_id", _informal("src").alias("src"), _capitals("tgt").alias("tgt"))
     steps = ["equals_sentences_val",
              ("contains_test_val", {"lines": derived.held_out_lines(spark, d)}),
              "english_formalizer_norm", "spanish_plural_abbreviations"]
-    return segments.process(rows, steps, "en", "es", "train")
+    return segments.process(rows, steps, "en", "es", mode)
+
+
+@query
+def job_segment_process(spark, d):
+    return _process_segments(spark, d, "train")
+
+
+@query
+def job_segment_decode_src(spark, d):
+    return _process_segments(spark, d, "decode_src")
+
+
+@query
+def job_segment_decode_tgt(spark, d):
+    return _process_segments(spark, d, "decode_tgt")
+
+
+@query
+def job_segment_own_steps(spark, d):
+    """A caller's normaliser and validator: no digits in the source, a target that is there."""
+    segments.register_normalizer("no_digits", lambda df, *_: df.withColumn("src", F.regexp_replace("src", "[0-9]", "")))
+    segments.register_validator("has_target", lambda df, *_: df.filter("tgt is not null"))
+    return segments.process(_segments(spark, d), ["no_digits", "has_target"], "en", "de")
 
 
 @query

@@ -343,6 +343,11 @@ def all_oracles() -> dict[str, str]:
         segs AS (SELECT row_id, {_informal('Tr1')} AS src, {_capitals('Tr2')} AS tgt FROM pairs)
         SELECT row_id, {_english('src')} AS src, {_spanish('tgt')} AS tgt FROM segs
         WHERE {_VALID} AND coalesce({_STRIPPED} NOT IN (SELECT line FROM test_lines), true)"""
+    segs = f"segs AS (SELECT row_id, {_informal('Tr1')} AS src, {_capitals('Tr2')} AS tgt FROM pairs)"
+    out["job_segment_decode_src"] = f"{p}, {segs} SELECT row_id, {_english('src')} AS src, tgt FROM segs"
+    out["job_segment_decode_tgt"] = f"{p}, {segs} SELECT row_id, src, {_spanish('tgt')} AS tgt FROM segs"
+    out["job_segment_own_steps"] = f"""{p} SELECT row_id, regexp_replace(src, '[0-9]', '', 'g') AS src, tgt
+        FROM {_SEGMENTS} WHERE tgt IS NOT NULL"""
     out["lookup_lexicon"] = f"""{p}, words AS (SELECT DISTINCT w FROM (
             SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM benchmark) WHERE w <> ''),
         places AS (SELECT row_id, unnest(string_split(Tr1, ' ')) AS token,
