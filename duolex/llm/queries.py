@@ -65,7 +65,7 @@ def op5_licenses(spark, d):
 
 @query
 def op10_simhash(spark, d):
-    return simhash.near_groups(read_table(spark, d, "documents")).drop("_mark")
+    return simhash.near_groups(read_table(spark, d, "documents")).drop("_mark", "_root")
 
 
 @query

@@ -244,35 +244,36 @@ def near_links(fps: DataFrame, n: int, bits: int = BITS) -> DataFrame:
 
 
 def near_groups(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
-    """key, fingerprint, component_id, _mark of every row.
+    """key, fingerprint, component_id, _mark, _root of every row.
 
     Fingerprints link at `bits` or fewer differing bits; `component_id` is the least key reachable, one's
     own included. Copies share a fingerprint and so count once until the end. Rows without key belong to
-    their component but never name it. An empty table gives no rows.
+    their component but never name it. Keys may repeat; `_root`, the least fingerprint reachable, is what
+    tells components apart. An empty table gives no rows.
     """
     docs = stage(fingerprints(df, key, text), "fingerprints")
     fps = stage(docs.groupBy("fp").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-fp")
     n = fps.count()
     if not n:
-        return docs.select(F.col("key").alias(key), F.lit("").alias("fingerprint"), F.col("key").alias("component_id"), "_mark")
+        return docs.select(F.col("key").alias(key), F.lit("").alias("fingerprint"), F.col("key").alias("component_id"), "_mark",
+                           F.col("fp").alias("_root"))
     roots = connected_components(stage(near_links(fps, n, bits), "near-links"), "a", "b")
     rooted = fps.join(small_or_shuffled(roots), F.col("fp") == F.col("node"), "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first", "n", F.col("root").isNotNull().alias("linked"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("_n")).filter("_n > 1")
     firsts = small_or_shuffled(stage(firsts, "first-of-group").select(F.col("root").alias("_root"), "component_id"))
-    shared = stage(rooted.join(firsts, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "component_id"), "groups")
+    shared = stage(rooted.join(firsts, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "_root", "component_id"), "groups")
     return docs.join(small_or_shuffled(shared), F.col("fp") == F.col("_fp"), "left").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.coalesce("component_id", "key").alias("component_id"), "_mark")
+        F.coalesce("component_id", "key").alias("component_id"), "_mark", F.coalesce("_root", "fp").alias("_root"))
 
 
 def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
     """`df` with one row of each group: that of the least key (null last); columns as they were."""
-    groups = stage(near_groups(df, key, text, bits).withColumn(
-        "_group", F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fingerprint")))), "near-groups")
+    groups = stage(near_groups(df, key, text, bits), "near-groups")
     order = F.struct(F.col(key).isNull(), F.col(key), F.col("_mark"))
-    first = groups.groupBy("_group").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    first = small_or_shuffled(stage(first.select(F.col("_group").alias("_g"), "_first"), "first-rows"))
-    kept = groups.join(first, F.col("_group") == F.col("_g"), "left").select(
+    first = groups.groupBy("_root").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    first = small_or_shuffled(stage(first.select(F.col("_root").alias("_g"), "_first"), "first-rows"))
+    kept = groups.join(first, F.col("_root") == F.col("_g"), "left").select(
         key, "_mark", F.coalesce(order == F.col("_first"), F.lit(True)).cast("int").alias("copies"))
     return repeat_rows(df, kept, key, text, most=1)

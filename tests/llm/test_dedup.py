@@ -93,6 +93,16 @@ def test_odd_near_copies(odd, odd_wide, empty, odd_rows):
     assert simhash.near_groups(empty).count() == 0 and simhash.drop_near_copies(empty).count() == 0
 
 
+def test_rows_of_one_key_do_not_drop_each_other(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10 ** 6, 60)) for _ in range(40)]
+    rows = [(7 if i % 3 == 0 else i, t) for i, t in enumerate(texts)]
+    rows += [(7, texts[1]), (2, texts[4] + " "), (2, texts[5] + "\t"), (None, texts[8]), (None, texts[6])]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(" ".join(r["text"].split()) for r in kept) == Counter(texts)
+    assert {(r["doc_id"], r["text"]) for r in kept} >= {(1, texts[1]), (2, texts[4] + " "), (2, texts[5] + "\t"), (8, texts[8]), (7, texts[6])}
+
+
 @pytest.mark.parametrize("blocks", [None, 40])
 def test_links_of_a_dense_ball(spark, monkeypatch, blocks):
     if blocks:  # several blocks a shard
