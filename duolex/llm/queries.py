@@ -86,12 +86,17 @@ def op4_substrings(spark, d):
 
 @query
 def op6_token_counts(spark, d):
-    """All documents come in; copies of a text go; documents with repeated lines are counted anew without those."""
+    """All documents come in; copies of a text go; documents with repeated lines are counted anew without those.
+
+    Of the rows of one text one stays: that of the least doc_id (null last), source and language. Rows are told
+    apart by a number of their own, as ids may repeat or be missing.
+    """
     docs = read_table(spark, d, "documents").withColumns({
+        "row": F.monotonically_increasing_id(),
         "whole": F.coalesce("text", F.lit("")), "lines": F.split(F.coalesce("text", F.lit("")), "\n")})
     docs = docs.withColumns({"once": F.array_join(F.array_distinct("lines"), "\n"), "digest": F.sha2("whole", 256)})
-    facts = docs.select("doc_id", "source", "lang", "digest", "whole", F.nullif("once", "whole").alias("revised"))
-    keep = ["doc_id", "source", "lang", "digest"]
+    facts = docs.select("row", "doc_id", "source", "lang", "digest", "whole", F.nullif("once", "whole").alias("revised"))
+    keep = ["row", "doc_id", "source", "lang", "digest"]
     texts = facts.select(*keep, F.explode(F.array(
         F.struct(F.lit(False).alias("again"), F.col("whole").alias("text")),
         F.struct(F.lit(True).alias("again"), F.col("revised").alias("text")))).alias("t")).select(
@@ -102,12 +107,13 @@ def op6_token_counts(spark, d):
         F.struct(F.lit(WORDS_VERSION).alias("tokenizer"), F.col("words").alias("tokens"))))
     rows = counted.select(*keep, "again", versions.alias("v")).select(*keep, "again", "v.*")
     base = rows.filter("not again")
-    first = base.groupBy("digest", "tokenizer").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"))
-    first = first.select(F.col("digest").alias("_digest"), F.col("tokenizer").alias("_tokenizer"), F.col("first.doc_id").alias("_first"))
+    first = base.groupBy("digest", "tokenizer").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "source", "lang", "row")).alias("first"))
+    first = first.select(F.col("digest").alias("_digest"), F.col("tokenizer").alias("_tokenizer"), F.col("first.row").alias("_first"))
     first = stage(first, "first-copies")
     mine = (F.col("digest") == F.col("_digest")) & (F.col("tokenizer") == F.col("_tokenizer"))
-    copies = base.join(first, mine & ~F.col("doc_id").eqNullSafe(F.col("_first")))
-    kept = rows.join(first, mine & F.col("doc_id").eqNullSafe(F.col("_first")))
+    copies = base.join(first, mine & (F.col("row") != F.col("_first")))
+    kept = rows.join(first, mine & (F.col("row") == F.col("_first")))
     old = kept.filter("not again").select("digest", "tokenizer", F.col("tokens").alias("old_tokens"))
     changed = kept.filter("again").join(old, ["digest", "tokenizer"])
     rollup = token_counts.Rollup(spark, fresh_path(spark, "rollup"))

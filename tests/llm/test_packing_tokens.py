@@ -110,6 +110,22 @@ def test_query_against_brute_force(spark, small, tokenizer):
     assert {(r["source"], r["lang"], r["tokenizer"]): [r["documents"], r["tokens"]] for r in got} == dict(want)
 
 
+def test_query_with_repeated_and_missing_ids(spark, tokenizer, tmp_path):
+    twice, other = "a line\nnext line\na line\na line", "one\ntwo\none"
+    rows = [(1, twice, "s", "en")] * 3 + [(2, twice, "t", "en"), (3, "plain text", "s", "en"), (3, "second text of three", "s", "en")]
+    rows += [(None, other, "u", "de")] * 4 + [(None, twice, "u", "de"), (None, None, "u", "de"), (None, "", "u", "de")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = defaultdict(lambda: [0, 0])
+    for text, key in (("a line\nnext line", ("s", "en")), ("plain text", ("s", "en")), ("second text of three", ("s", "en")),
+                      ("one\ntwo", ("u", "de")), ("", ("u", "de"))):
+        for version, n in (("word_bpe_49k", len(_ids(tokenizer, text))), ("words-1", len(text.split()))):
+            total = want[(*key, version)]
+            total[0] += 1
+            total[1] += n
+    got = queries.all_queries()["op6_token_counts"](spark, str(tmp_path)).collect()
+    assert {(r["source"], r["lang"], r["tokenizer"]): [r["documents"], r["tokens"]] for r in got} == dict(want)
+
+
 def test_batches_commit_once_in_any_order(spark, tmp_path):
     kinds = "source string, lang string, tokenizer string, tokens long"
     rows = spark.createDataFrame([("a", "en", "v1", 10), ("a", "en", "v1", 10), (None, None, "v1", 5), ("b", "en", "v2", 7)], kinds)
