@@ -65,5 +65,29 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUB
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20"""
 
 
+OP12 = r"""
+WITH docs AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    words AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+    kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+    uses AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (SELECT lang, source, coalesce(sum(uses.n), 0)::BIGINT AS total
+        FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN uses USING (lang, source) GROUP BY ALL),
+    langs AS (SELECT lang, sum(n)::BIGINT AS total, count(*) AS v FROM kept GROUP BY lang),
+    shares AS (SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n,
+            1 + (1000000000 * (coalesce(u.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+            1 + (1000000000 * (k.n + 2)) // (l.total + 2 * l.v) AS q
+        FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN uses u USING (lang, source, term)),
+    gaps AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p))::BIGINT AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN gaps ON gaps.lang = a.lang AND gaps.source = a.source AND gaps.item = b.source),
+    parts AS (SELECT * FROM pairs
+        UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_sharding": OP1, "op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_topk": OP9}
+    return {"op1_sharding": OP1, "op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_topk": OP9, "op12_divergence": OP12}

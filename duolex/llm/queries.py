@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duolex.llm import exact_dedup, licenses, mixing, packing, sharding, simhash, substrings, token_counts, topk, toxicity
+from duolex.llm import divergence, exact_dedup, licenses, mixing, packing, sharding, simhash, substrings, token_counts, topk, toxicity
 from duolex.llm.common import fresh_path, read_table
 from duolex.session import stage
 
@@ -121,3 +121,8 @@ def op6_token_counts(spark, d):
                           ("3-lines", token_counts.revisions(changed)), ("2-copies", token_counts.deletes(copies))):
         rollup.commit(batch, deltas)
     return rollup.totals()
+
+
+@query
+def op12_divergence(spark, d):
+    return divergence.audit(read_table(spark, d, "documents"))
