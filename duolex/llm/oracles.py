@@ -89,5 +89,23 @@ WITH docs AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, co
 SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP13 = rf"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
+        list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM split),
+    sizes AS (SELECT doc_id, len(s)::BIGINT AS n FROM sets),
+    each AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM each a JOIN each b
+        ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * c >= 85 * (p.n + q.n - c)),
+    reach AS (SELECT doc_id, doc_id AS other FROM sizes UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_sharding": OP1, "op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_topk": OP9, "op12_divergence": OP12}
+    return {"op1_sharding": OP1, "op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_topk": OP9, "op12_divergence": OP12,
+            "op13_minhash": OP13}
