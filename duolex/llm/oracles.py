@@ -13,17 +13,21 @@ def _cheapest(n: int) -> str:
 
 
 # Checksum of the polynomial 0xEDB88320, byte by byte, with its table from the rule that defines it.
-_CRC32 = """
+_CRC_TABLE = """
     steps AS (SELECT i, i AS v, 0 AS n FROM range(256) t(i)
         UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, n + 1 FROM steps WHERE n < 8),
-    crc_table AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE n = 8),
-    sums AS (SELECT doc_id, xor(list_reduce(
-            list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT),
-            lambda acc, b: xor(acc >> 8, tab[xor(acc & 255, b) + 1]), 4294967295), 4294967295) AS text_crc32
-        FROM documents, crc_table)"""
+    crc_table AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE n = 8)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(
+            list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT),
+            lambda acc, b: xor(acc >> 8, tab[xor(acc & 255, b) + 1]), 4294967295), 4294967295)"""
+
 
 OP1 = f"""
-WITH RECURSIVE {_CRC32},
+WITH RECURSIVE {_CRC_TABLE},
+    sums AS (SELECT doc_id, {_crc32("coalesce(text, '')")} AS text_crc32 FROM documents, crc_table),
     rows AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, text_crc32,
             {_cheapest(8)} AS shard, {_cheapest(9)} AS grown_shard
         FROM documents JOIN sums USING (doc_id))
@@ -65,9 +69,31 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUB
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20"""
 
 
-OP12 = r"""
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+    runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS key, unnest(regexp_extract_all({_LOWER.format("text")}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+    each AS (SELECT key, run, count(*) AS n FROM runs GROUP BY ALL),
+    sums AS (SELECT run, n, {_crc32("key || ':' || run")} AS h FROM each, crc_table),
+    cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM sums),
+    words AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+    shorter AS (SELECT DISTINCT p.word AS a, w.word AS b FROM places p JOIN words w ON w.word = substr(p.word, 1, i - 1) || substr(p.word, i + 1)),
+    patterns AS (SELECT word, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS pattern FROM places),
+    near AS (SELECT a, b FROM shorter UNION SELECT b, a FROM shorter
+        UNION SELECT x.word, y.word FROM patterns x JOIN patterns y ON x.pattern = y.pattern AND x.word <> y.word),
+    placed AS (SELECT a, b, w.n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS place
+        FROM near JOIN words w ON w.word = b),
+    formed AS (SELECT w.word, w.n, coalesce(p.n_near, 0) AS n_near, CASE WHEN p.n >= 2 * w.n THEN p.b END AS form,
+            CASE WHEN p.n >= 2 * w.n THEN p.n END AS form_n FROM words w LEFT JOIN placed p ON p.a = w.word AND p.place = 1),
+    chain AS (SELECT word, word AS at FROM formed UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c USING (word) JOIN formed e ON e.word = c.at AND e.form IS NULL"""
+
+OP12 = rf"""
 WITH docs AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
     words AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
     kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT row) >= 10),
     uses AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
@@ -89,10 +115,8 @@ WITH docs AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, co
 SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
 
 
-_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 OP13 = rf"""
-WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
     sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
         list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM split),
     sizes AS (SELECT doc_id, len(s)::BIGINT AS n FROM sets),
@@ -107,5 +131,5 @@ FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_sharding": OP1, "op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_topk": OP9, "op12_divergence": OP12,
+    return {"op1_sharding": OP1, "op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_topk": OP9, "op11_spelling": OP11, "op12_divergence": OP12,
             "op13_minhash": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duolex.llm import divergence, exact_dedup, licenses, minhash, mixing, packing, sharding, simhash, substrings, token_counts, topk, toxicity
+from duolex.llm import divergence, exact_dedup, licenses, minhash, mixing, packing, sharding, simhash, spelling, substrings, token_counts, topk, toxicity
 from duolex.llm.common import fresh_path, read_table
 from duolex.session import stage
 
@@ -131,3 +131,8 @@ def op12_divergence(spark, d):
 @query
 def op13_minhash(spark, d):
     return minhash.near_groups(read_table(spark, d, "documents"))
+
+
+@query
+def op11_spelling(spark, d):
+    return spelling.group_variants(read_table(spark, d, "documents"))

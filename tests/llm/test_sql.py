@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from duolex.llm.oracles import all_oracles
@@ -22,7 +23,7 @@ def duck(small):
 
 def _rows(frame):
     def cell(x):
-        if isinstance(x, float) and math.isnan(x):
+        if x is pd.NA or isinstance(x, float) and math.isnan(x):
             return None
         return round(float(x), 6) if isinstance(x, (int, float)) or hasattr(x, "dtype") else x
 
