@@ -65,18 +65,27 @@ def quoted(names: list[str]) -> list[str]:
 
 
 def text_mark(text: str = "text") -> Column:
-    """Tells rows apart that share a key: a hash of the text as it is."""
+    """A hash of the text as it is."""
     return F.xxhash64(F.col(text))
 
 
-def repeat_rows(df: DataFrame, decisions: DataFrame, key: str = "doc_id", text: str = "text",
-                most: int | None = None) -> DataFrame:
+def row_mark(df: DataFrame) -> Column:
+    """Tells rows apart that share a key: a hash of all columns, nulls told from texts. Rows of one mark are equal.
+
+    Maps have no hash and are left out.
+    """
+    names = [n for n, kind in zip(quoted(df.columns), df.schema) if "map" not in kind.dataType.simpleString()]
+    return F.xxhash64(*[F.isnull(n) for n in names], *names)
+
+
+def repeat_rows(df: DataFrame, decisions: DataFrame, key: str = "doc_id", most: int | None = None) -> DataFrame:
     """The rows of `df`, each as often as `decisions` (key, _mark, copies; a row for each of `df`) says.
 
-    `_mark` is `text_mark` of the row. Texts stay where they are while the keys whose copies are not one
-    fit a broadcast. Keys that several rows share, null among them, are settled apart: rows of one key and
-    text are one document with the sum of their copies, `most` at the most, so no row takes another one's decision. Columns
-    are those of `df`, in order, whatever their names.
+    `_mark` is `row_mark(df)` of the row. Rows stay where they are while the keys whose copies are not one
+    fit a broadcast. Keys that several rows share, null among them, are settled apart: only rows equal in all
+    columns share a mark, and they come back as often as their copies sum up to, `most` at the most. So no row
+    takes another one's decision, and none is put in another one's place. Columns are those of `df`, in
+    order, whatever their names.
     """
     a, b, c, n, r = (f"_{x}{uuid.uuid4().hex[:6]}" for x in ("key", "mark", "copies", "n", "row"))
     asked = decisions.select(F.col(key).alias(a), F.col("_mark").alias(b), F.col("copies").cast("int").alias(c))
@@ -101,7 +110,7 @@ def repeat_rows(df: DataFrame, decisions: DataFrame, key: str = "doc_id", text:
     if shared.isEmpty():
         return out
     odd = df.join(small_or_shuffled(shared.select(a)), F.col(key).eqNullSafe(F.col(a)), "left_semi")
-    whole = odd.groupBy(F.col(key).alias("k"), text_mark(text).alias("m")).agg(
+    whole = odd.groupBy(F.col(key).alias("k"), row_mark(df).alias("m")).agg(
         F.any_value(F.struct(*columns)).alias("row"))
     back = whole.join(per_text, F.col("k").eqNullSafe(F.col(a)) & (F.col("m") == F.col(b)))
     return out.unionByName(times(back).select("row.*"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from duolex.llm.common import repeat_rows, text_mark
+from duolex.llm.common import repeat_rows, row_mark
 from duolex.session import stage
 
 # A filter has a power of two of blocks of BLOCK_BITS bits, at most MAX_BLOCKS of 4 KB: 64 MB in all.
@@ -63,7 +63,7 @@ def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = stage(df.select(
         F.col(key), F.length(whole).alias("_chars"), F.sha2(normalised(F.col(text)), 256).alias("text_sha256"),
-        text_mark(text).alias("_mark"), F.monotonically_increasing_id().alias("_row")), "digests")
+        row_mark(df).alias("_mark"), F.monotonically_increasing_id().alias("_row")), "digests")
     split = possibly_repeated(rows, "text_sha256", rows.count())
     candidates = stage(split.filter("_repeated"), "repeated")
     order = F.struct(-F.col("_chars"), F.col(key).isNull(), F.col(key), F.col("_row"))
@@ -81,4 +81,4 @@ def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`df` with one row of each text, as `find_copies` decides; all columns are as they were."""
     found = find_copies(df, key, text)
-    return repeat_rows(df, found.select(key, "_mark", F.col("kept").cast("int").alias("copies")), key, text)
+    return repeat_rows(df, found.select(key, "_mark", F.col("kept").cast("int").alias("copies")), key)

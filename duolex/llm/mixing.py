@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from duolex.llm.common import ranked, repeat_rows, small_or_shuffled, text_mark, unit_hash
+from duolex.llm.common import ranked, repeat_rows, row_mark, small_or_shuffled, unit_hash
 from duolex.session import stage
 
 ROWS_PER_BUCKET = 1000
@@ -99,7 +99,7 @@ def mix(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 def sized_rows(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """What `mix` asks for, from a table of documents; texts are read once and left behind."""
     sized = df.select(F.col(key).alias("key"), F.col(source).alias("source"), count_words(text).alias("size"),
-                      F.col(text).alias("_text"), text_mark(text).alias("_mark"))
+                      F.col(text).alias("_text"), row_mark(df).alias("_mark"))
     return sized.withColumn("weight", quality_weight("_text", "size")).drop("_text")
 
 
@@ -110,4 +110,4 @@ def mix_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source
     """
     taken = mix(sized_rows(df, key, text, source), whole=True, **options)
     copies = F.when(F.col("size") > 0, F.try_divide("taken", "size")).otherwise(1).cast("int")
-    return repeat_rows(df, taken.select(F.col("key").alias(key), "_mark", copies.alias("copies")), key, text)
+    return repeat_rows(df, taken.select(F.col("key").alias(key), "_mark", copies.alias("copies")), key)

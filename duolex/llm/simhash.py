@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from duolex.llm.common import repeat_rows, small_or_shuffled, text_mark
+from duolex.llm.common import repeat_rows, row_mark, small_or_shuffled
 from duolex.llm.components import connected_components
 from duolex.session import stage
 
@@ -64,7 +64,7 @@ def _fingerprint_rows(batches: Iterator) -> Iterator:
 
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, _mark, fp of every row; texts are read once and left behind."""
-    rows = df.select(F.col(key).cast("bigint").alias("key"), text_mark(text).alias("_mark"), F.col(text).alias("text"))
+    rows = df.select(F.col(key).cast("bigint").alias("key"), row_mark(df).alias("_mark"), F.col(text).alias("text"))
     return rows.mapInArrow(_fingerprint_rows, "key long, _mark long, fp long")
 
 
@@ -276,4 +276,4 @@ def drop_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", bit
     first = small_or_shuffled(stage(first.select(F.col("_root").alias("_g"), "_first"), "first-rows"))
     kept = groups.join(first, F.col("_root") == F.col("_g"), "left").select(
         key, "_mark", F.coalesce(order == F.col("_first"), F.lit(True)).cast("int").alias("copies"))
-    return repeat_rows(df, kept, key, text, most=1)
+    return repeat_rows(df, kept, key, most=1)

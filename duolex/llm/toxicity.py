@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from duolex.llm.common import repeat_rows, text_mark, unit_hash
+from duolex.llm.common import repeat_rows, row_mark, unit_hash
 from duolex.session import stage
 
 # At most about SAMPLE labelled rows serve each of the three fits: lexicon, trees, calibration.
@@ -185,7 +185,7 @@ def fit_and_score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     from pyspark.ml.regression import IsotonicRegression
 
     known = labelled_sample(labels, label_key, label, sample)
-    rows = df.select(F.col(key).cast("bigint").alias("key"), text_mark(text).alias("_mark"), F.col(text).alias("text"))
+    rows = df.select(F.col(key).cast("bigint").alias("key"), row_mark(df).alias("_mark"), F.col(text).alias("text"))
     early = known.filter("fold in (1, 2)")
     terms = {w.encode(): 4.0 for w in INSULTS}
     terms.update(learn_terms(stage(rows.join(early, F.col("key") == F.col("_id")).select("text", "toxic"), "lexicon-texts")))
@@ -219,4 +219,4 @@ def fit_and_score(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
 def drop_toxic(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """`df` without the rows predicted toxic; columns as they were."""
     scored = stage(fit_and_score(df, labels, key, text, **options).select(key, "_mark", "predicted"), "toxicity")
-    return repeat_rows(df, scored.select(key, "_mark", (1 - F.col("predicted")).alias("copies")), key, text)
+    return repeat_rows(df, scored.select(key, "_mark", (1 - F.col("predicted")).alias("copies")), key)
