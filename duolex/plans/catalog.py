@@ -438,24 +438,56 @@ def job_learn_subwords_word(spark, d):
     return _rounded(subwords.learn_subwords(_documents(spark, d), "text", "word"))
 
 
+SYMBOLS = ["###"]
+_LEARNED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _learned(spark: SparkSession, d: str, model_type: str) -> DataFrame:
+    """The vocabulary of the documents at the default settings, learned once in a session and staged."""
+    key = (spark.sparkContext.applicationId, d, model_type)
+    if key not in _LEARNED:
+        symbols = SYMBOLS if model_type == "unigram" else []
+        _LEARNED[key] = stage(subwords.learn_subwords(_documents(spark, d), "text", model_type, symbols=symbols), "vocabulary")
+    return _LEARNED[key]
+
+
 @query
 def job_learn_subwords_bpe(spark, d):
-    return subwords.learn_subwords(_documents(spark, d), "text", "bpe", vocab_size=160)
+    return _learned(spark, d, "bpe")
 
 
 @query
 def job_learn_subwords(spark, d):
-    return subwords.learn_subwords(
-        _documents(spark, d), "text", "unigram", vocab_size=2000, symbols=["###"],
-        seed_pieces=60_000, shrink=0.2, passes=1)
+    return _learned(spark, d, "unigram")
 
 
 @query
 def job_apply_subwords(spark, d):
-    docs = _documents(spark, d)
-    vocabulary = stage(subwords.learn_subwords(
-        docs, "text", "unigram", vocab_size=2000, seed_pieces=60_000, shrink=0.2, passes=1), "vocabulary")
-    return docs.select("doc_id", subwords.apply_subwords("text", vocabulary).alias("pieces"))
+    pieces = subwords.apply_subwords("text", _learned(spark, d, "unigram"), symbols=SYMBOLS)
+    return _documents(spark, d).select("doc_id", pieces.alias("pieces"))
+
+
+def _round_trip(spark: SparkSession, d: str, model_type: str) -> DataFrame:
+    """Texts cut into pieces and put together again, and whether every piece is in the vocabulary."""
+    vocabulary = _learned(spark, d, model_type)
+    symbols = SYMBOLS if model_type == "unigram" else []
+    cut = stage(_documents(spark, d).select("doc_id", subwords.apply_subwords(
+        "text", vocabulary, model_type, symbols).alias("pieces")), "pieces")
+    used = cut.select("doc_id", F.explode(F.split("pieces", " ")).alias("piece")).filter("piece <> ''")
+    strange = used.join(vocabulary.select(F.col("piece").alias("known")), F.col("piece") == F.col("known"), "left_anti")
+    unknown = strange.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n"))
+    return cut.join(unknown, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
+        "doc_id", subwords.undo_subwords("pieces").alias("text"), F.coalesce("n", F.lit(0)).alias("unknown"))
+
+
+@query
+def job_apply_subwords_round_trip(spark, d):
+    return _round_trip(spark, d, "unigram")
+
+
+@query
+def job_apply_subwords_bpe(spark, d):
+    return _round_trip(spark, d, "bpe")
 
 
 @query

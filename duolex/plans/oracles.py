@@ -281,6 +281,42 @@ places AS (SELECT row_id, src, i, string_split(src, ' ')[i + 1] AS own, string_s
                  FROM (SELECT row_id, coalesce(Tr1, '') AS src FROM pairs)))"""
 
 
+def merges_sql(size: int, percent: int = 90, look: int = 4000) -> str:
+    """Merge rounds over the distinct words: row 0 of the recursion holds the pieces so far, the others the words."""
+    return f"""WITH RECURSIVE counted AS (SELECT w, count(*) AS n FROM ({_MARKED_WORDS}) GROUP BY w),
+        words AS (SELECT row_number() OVER () AS id, list_filter(string_split(w, ''), lambda x: x <> '') AS pieces, n FROM counted),
+        alphabet AS (SELECT c AS piece, sum(n) AS n FROM (SELECT unnest(pieces) AS c, n FROM words) GROUP BY c),
+        rec(id, pieces, n) USING KEY (id) AS (
+            SELECT id, pieces, n::BIGINT FROM words
+            UNION ALL SELECT 0, []::VARCHAR[], ({size} - 3 - (SELECT count(*) FROM alphabet))::BIGINT
+            UNION (
+            WITH pairs AS (SELECT p[1] AS a, p[2] AS b, sum(n) AS n FROM (
+                    SELECT unnest(list_transform(range(1, len(pieces)), lambda i: [pieces[i], pieces[i + 1]])) AS p, n
+                    FROM recurring.rec WHERE id > 0) GROUP BY ALL),
+                ranked AS (SELECT a, b, n, row_number() OVER (ORDER BY n DESC, a, b) AS place FROM pairs QUALIFY place <= {look}),
+                band AS (SELECT a, b, place FROM ranked WHERE 100 * n >= {percent} * (SELECT max(n) FROM ranked)),
+                ended AS (SELECT b AS piece, min(place) AS place FROM band GROUP BY b),
+                begun AS (SELECT a AS piece, min(place) AS place FROM band GROUP BY a),
+                taken AS (SELECT a, b, band.place FROM band LEFT JOIN ended ON ended.piece = a LEFT JOIN begun ON begun.piece = b
+                    WHERE coalesce(ended.place, band.place) >= band.place AND coalesce(begun.place, band.place) >= band.place),
+                marks AS (SELECT list(a || ' ' || b) AS marks FROM taken),
+                fresh AS (SELECT list(piece ORDER BY place) AS made FROM (SELECT a || b AS piece, min(place) AS place FROM taken GROUP BY ALL)),
+                control AS (SELECT pieces AS done, n AS room FROM recurring.rec WHERE id = 0)
+            SELECT id, list_transform(list_reduce(list_transform(pieces, lambda x: [x]), lambda acc, x:
+                    CASE WHEN list_contains(marks, acc[-1] || ' ' || x[1]) THEN acc[:-2] || [chr(1) || acc[-1] || x[1]] ELSE acc || x END),
+                    lambda x: replace(x, chr(1), '')), n
+                FROM recurring.rec, marks, control
+                WHERE id > 0 AND len(done) < room AND list_has_any(list_transform(range(1, len(pieces)), lambda i: pieces[i] || ' ' || pieces[i + 1]), marks)
+            UNION ALL SELECT 0, done || list_filter(made, lambda x: NOT list_contains(done, x)), room
+                FROM control, fresh WHERE len(done) < room AND len(made) > 0)),
+        merged AS (SELECT unnest(pieces[1:n]) AS piece, -(unnest(range(0, least(n, len(pieces)))))::DOUBLE AS score FROM rec WHERE id = 0),
+        singles AS (SELECT piece, -(SELECT count(*) FROM merged)::DOUBLE - row_number() OVER (ORDER BY n DESC, piece) + 1 AS score FROM alphabet),
+        fixed AS (SELECT unnest(['<unk>', '<s>', '</s>']) AS piece, unnest([0, 1, 2]) AS id)
+        SELECT piece, 0.0::DOUBLE AS score, id::INT AS id FROM fixed
+        UNION ALL SELECT piece, score, (row_number() OVER (ORDER BY score DESC, piece) + 2)::INT
+            FROM (SELECT * FROM merged UNION ALL SELECT * FROM singles)"""
+
+
 def all_oracles() -> dict[str, str]:
     """Query name to SQL. Queries without an entry are checked in the tests only."""
     p = f"WITH {_PAIRS}"
@@ -416,6 +452,9 @@ def all_oracles() -> dict[str, str]:
     out["job_learn_subwords_word"] = _vocabulary(f"SELECT w AS piece, count(*) AS n FROM ({_MARKED_WORDS}) GROUP BY w", 7997)
     out["job_apply_subwords_char"] = f"""SELECT doc_id, array_to_string(list_filter(
         string_split(replace({_MARKED}, ' ', ''), ''), lambda x: x <> ''), ' ') AS pieces FROM documents"""
+    out["job_learn_subwords_bpe"] = merges_sql(8000)
+    for kind in ("round_trip", "bpe"):
+        out[f"job_apply_subwords_{kind}"] = f"SELECT doc_id, {_DOC_TEXT} AS text, 0::BIGINT AS unknown FROM documents"
     out["job_undo_subwords"] = f"SELECT doc_id, {_DOC_TEXT} AS text FROM documents"
     out["topk_vocab"] = f"""SELECT token, count(*) AS n FROM (SELECT unnest({_tokens('text')}) AS token FROM documents)
         GROUP BY token ORDER BY n DESC, token LIMIT 8000"""
