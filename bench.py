@@ -17,7 +17,7 @@ HEADLINE = [
     "job_clean_corpus", "agg_step_table", "distinct_pairs_keep_first", "job_decontaminate", "job_segment_process",
     "job_step4_sentence_split", "job_train_langid", "job_score_langid", "job_quality_features", "metric_wer",
     "metric_cer", "metric_f_measure", "model_quality_evaluate", "job_learn_subwords_char", "job_learn_subwords_word",
-    "job_learn_subwords_bpe", "job_learn_subwords", "job_apply_subwords_char", "topk_vocab", "win_token_batches",
+    "job_apply_subwords_char", "topk_vocab", "win_token_batches",
     "job_build_training_set", "win_fixed_batches", "topk_nbest", "lookup_phrase_table", "job_batch_translate",
 ]
 

@@ -19,7 +19,7 @@ SERIES_PREFIX = "SERIES TITLE: "
 SUMMARY_GATE = "Original language summary"
 SUMMARY_PREFIX = "Original language summary: "
 SENTENCE_ENDS = ".!?"
-NO_BREAK_SPACE = chr(0xA0)
+NO_BREAK_SPACE = "\u00a0"
 
 
 def as_col(c: ColumnOrName) -> Column:
