@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from duolex.llm.common import repeat_rows, row_mark
-from duolex.session import stage
+from duolex.session import small_side, stage
 
 # A filter has a power of two of blocks of BLOCK_BITS bits, at most MAX_BLOCKS of 4 KB: 64 MB in all.
 BLOCK_BITS = 32_768
@@ -58,7 +58,8 @@ def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     Texts are equal when they are the same without blanks, tabs and line ends (null: empty). The row with
     most code points stays, then that of the smallest key (null last), then the first read. Texts are read
     once; digests are staged. Rows with a digest of their own pass straight through, only the rest moves:
-    minima combine in each task, and where one text makes up much of the table the join back splits it.
+    minima combine in each task, and go back to the rows by broadcast after a count of their rows and bytes;
+    beyond it the join back splits a text that makes up much of the table.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = stage(df.select(
@@ -70,6 +71,7 @@ def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     groups = candidates.groupBy("text_sha256").agg(
         F.min_by(F.struct(F.col(key).alias("keep_id"), F.col("_row").alias("keep_row")), order).alias("k"),
         F.count(F.lit(1)).alias("group_size")).select("text_sha256", "k.*", "group_size")
+    groups = small_side(stage(groups, "copy-groups"), 500_000)  # then copies of one text stay where they are
     settled = candidates.join(groups, "text_sha256").select(
         key, "keep_id", "group_size", (F.col("_row") == F.col("keep_row")).alias("kept"), "text_sha256", "_mark")
     alone = split.filter("not _repeated").select(
