@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from duolex.session import small_side, stage
@@ -16,46 +18,159 @@ CORPUS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CORPUS_C
 FILE_BITS = 38
 
 
-def number_rows(staged: DataFrame) -> DataFrame:
-    """Turns path, _block, _ordinal into `row_id`: number of the file by path, then place in the file.
+_CSV = {"sep": "\t", "quote": '"', "escape": '"'}
+
 
-    Unique over all files and in their order. A block's rows lie together in the order read, so its size
-    and first ordinal are enough; one row per block is summed up, and the texts do not move while that
-    table fits a broadcast.
+def _block_shifts(staged: DataFrame) -> DataFrame:
+    """path, _block, _shift: what makes an `_ordinal` of a block the number of its file and the place in it.
+
+    A block's rows lie together in the order read, so its size and first ordinal are enough.
     """
     blocks = staged.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("_ordinal").alias("first"))
     before = W.partitionBy("path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = blocks.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     # As many rows as files, whose names Spark's own listing holds in the driver already.
     files = blocks.select("path").distinct().withColumn("file", F.row_number().over(W.orderBy("path")) - 1)
-    placed = stage(starts.join(files, "path").select(
+    return stage(starts.join(files, "path").select(
         "path", "_block", (F.shiftleft(F.col("file").cast("bigint"), FILE_BITS) + F.col("start") - F.col("first")).alias("_shift")),
         "blocks")
-    return staged.join(small_side(placed), ["path", "_block"]).withColumn(
+
+
+def number_rows(staged: DataFrame) -> DataFrame:
+    """Turns path, _block, _ordinal into `row_id`: number of the file by path, then place in the file.
+
+    Unique over all files and in their order. One row per block is summed up, and the texts do not move
+    while that table fits a broadcast.
+    """
+    return staged.join(small_side(_block_shifts(staged)), ["path", "_block"]).withColumn(
         "row_id", F.col("_ordinal") + F.col("_shift")).drop("_block", "_ordinal", "_shift")
 
 
+def _inside_after(line: str, inside: bool) -> bool:
+    """Whether a quoted field is open after the line, given whether one is before it.
+
+    A field is quoted if it begins with a quote; within one, doubled quotes cancel out. Quotes elsewhere
+    in a field are text.
+    """
+    for part in line.split("\t"):
+        if inside or part.startswith('"'):
+            inside ^= part.count('"') % 2 == 1
+    return inside
+
+
+_OPEN_LINES = ("path string, _block long, _ordinal long, value string, open0 boolean, open1 boolean, "
+               "head0 long, head1 long, end0 boolean, end1 boolean")
+
+
+def _both_ways(batches: Iterator) -> Iterator:
+    """For a block that begins outside a quoted field, and for one that begins inside: how each of its lines begins.
+
+    `head` is the line that the record of this one begins at, or null if it lies in an earlier block; `open`
+    and `end` say whether a quoted field is open before and after the line.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    here, inside, heads = None, [False, True], [-1, -1]
+    for batch in batches:
+        paths, blocks = batch.column("path"), batch.column("_block").to_numpy()
+        ordinals, lines = batch.column("_ordinal").to_numpy(), batch.column("value")
+        n = batch.num_rows
+        codes = paths.dictionary_encode().indices.to_numpy()
+        turns = np.flatnonzero((np.diff(codes) != 0) | (np.diff(blocks) != 0)) + 1 if n else []
+        quoted = set(np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)).tolist())
+        stops = sorted({0, *map(int, turns), *quoted, *(q + 1 for q in quoted)} & set(range(n))) + [n]
+        before, after = [np.zeros(n, bool) for _ in "01"], [np.zeros(n, bool) for _ in "01"]
+        head = [np.zeros(n, np.int64) for _ in "01"]
+        for lo, hi in zip(stops, stops[1:]):  # runs of lines without quotes, or one line with some
+            if (place := (paths[lo].as_py(), int(blocks[lo]))) != here:
+                here, inside, heads = place, [False, True], [-1, -1]
+            for way in (0, 1):
+                before[way][lo:hi] = inside[way]
+                head[way][lo:hi] = heads[way] if inside[way] else ordinals[lo:hi]
+                if lo in quoted:
+                    heads[way] = int(head[way][lo])
+                    inside[way] = _inside_after(lines[lo].as_py(), inside[way])
+                after[way][lo:hi] = inside[way]
+        head = [pa.array(h, mask=h < 0) for h in head]
+        yield pa.RecordBatch.from_arrays(
+            [paths, batch.column("_block"), batch.column("_ordinal"), lines, *map(pa.array, before), *head, *map(pa.array, after)],
+            [f.split()[0] for f in _OPEN_LINES.split(", ")])
+
+
+def _block_entries(lines: DataFrame) -> DataFrame:
+    """path, _block, _open, _head: whether a quoted field is open before a block, and the line it opened in.
+
+    A block leaves either state as it is, turns both, or ends in one of them however it began. The last
+    block of that kind settles the state; an odd number of turns since then reverses it.
+    """
+    last = F.max_by(F.struct("end0", "end1", "head0", "head1"), "_ordinal")
+    ends = lines.groupBy("path", "_block").agg(last.alias("l")).select("path", "_block", "l.*")
+    earlier = W.partitionBy("path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    turns = F.coalesce(F.sum(F.when(F.col("end0") & ~F.col("end1"), 1).otherwise(0)).over(earlier), F.lit(0))
+    fixed = ends.withColumn("_turns", turns)
+    # What the state would be had nothing turned since the first block.
+    settled = F.when(F.col("end0") == F.col("end1"), F.col("end0").cast("int") + F.col("_turns"))
+    state = F.coalesce(F.last("_settled", ignorenulls=True).over(earlier), F.lit(0)) + F.col("_turns")
+    opened = fixed.withColumn("_settled", settled).withColumn("_open", state % 2 == 1)
+    end = F.when(F.col("_open"), F.col("end1")).otherwise(F.col("end0"))
+    head = F.when(F.col("_open"), F.col("head1")).otherwise(F.col("head0"))
+    # An open block whose record began in it names the line; one that a record runs through names none.
+    named = opened.withColumn("_named", F.when(end, head))
+    return named.select("path", "_block", "_open", F.last("_named", ignorenulls=True).over(earlier).alias("_head"))
+
+
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """path, Filename, row_id, value: the records of text files whose quoted fields may hold line ends.
+
+    Files are read in blocks by many tasks. Whether a block begins inside a quoted field is not known while
+    it is read, so its lines are marked for both cases; one row per block then tells which one holds. Only
+    the lines of records of several lines are brought together. `row_id` is the number of the file and of
+    the record's first line; a carriage return before a line end outside of quotes, and empty lines, are left out.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_ordinal"), "value")
+    lines = stage(raw.mapInArrow(_both_ways, _OPEN_LINES), "corpus-lines")
+    blocks = stage(_block_entries(lines).join(_block_shifts(lines), ["path", "_block"]), "block-entries")
+
+    def way(name: str):
+        return F.when(F.col("_open"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
+
+    placed = lines.join(small_side(blocks), ["path", "_block"]).select(
+        "path", "value", (F.col("_ordinal") + F.col("_shift")).alias("row_id"),
+        way("open").alias("_in"), way("end").alias("_out"), way("head").alias("_own"), "_head")
+    alone = placed.filter("not _in and not _out").select("path", "row_id", "value")
+    parts = placed.filter("_in or _out").withColumn("_first", F.coalesce("_own", "_head"))
+    joined = parts.groupBy("path", "_first").agg(
+        F.min("row_id").alias("row_id"),
+        F.array_sort(F.collect_list(F.struct("row_id", "value"))).alias("lines"))
+    whole = joined.select("path", "row_id", F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("value"))
+    return alone.unionByName(whole).select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("Filename"), "row_id",
+        F.regexp_replace("value", "\r$", "").alias("value")).filter("value <> ''")
+
+
 def read_corpus(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Every header-less TSV file in a folder, or several, as one frame.
 
     Adds `path`, `Filename` (the bare name, which files of two folders may share) and `row_id`, unique
-    over all files. An empty field is a missing value. With `multiline` a quoted field may hold newlines
-    and a file is read by one task; turn it off for big files without such fields, which are then read in
-    blocks. The rows are staged, as how files are packed into tasks may change from scan to scan.
+    over all files and in their order. An empty field is a missing value. With `multiline` a quoted field
+    may hold newlines; files are read in blocks either way. The rows are staged, as how files are packed
+    into tasks may change from scan to scan.
     """
-    raw = (
-        spark.read.schema(CORPUS_SCHEMA)
-        .option("sep", "\t").option("quote", '"').option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+    fields = [F.nullif(F.col(c), F.lit("")).alias(c) for c in CORPUS_COLUMNS]
+    if multiline:
+        parsed = quoted_records(spark, path).withColumn("_r", F.from_csv("value", CORPUS_SCHEMA.simpleString()[7:-1].replace(":", " "), _CSV))
+        rows = parsed.select("path", "Filename", "row_id", "_r.*")
+        return stage(rows.select("path", "Filename", "row_id", *fields), "corpus-rows")
+    raw = spark.read.schema(CORPUS_SCHEMA).options(**_CSV).csv(path)
     rows = raw.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("Filename"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_ordinal"),
-        *[F.nullif(F.col(c), F.lit("")).alias(c) for c in CORPUS_COLUMNS],
-    )
+        F.monotonically_increasing_id().alias("_ordinal"), *fields)
     return number_rows(stage(rows, "corpus-rows")).select("path", "Filename", "row_id", *CORPUS_COLUMNS)
 
 

@@ -21,6 +21,11 @@ def write_tsv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
     _tsv(df, header).mode(mode).csv(path)
 
 
+def write_tsv_by(df: DataFrame, path: str, *keys: str) -> None:
+    """Header-less TSV files in a folder per value of `keys`, which the files do not hold."""
+    _tsv(df, False).partitionBy(*keys).csv(path)
+
+
 def routed_rows(audit: DataFrame) -> DataFrame:
     """Audit rows as they go to the route folders.
 

@@ -1,9 +1,12 @@
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from duolex.functions.text import english_formalize
 from duolex.operators import decontaminate, segments
-from duolex.sources import corpus, sinks
+from duolex.sources import commits, corpus, sinks, vocabulary
 
 NB = chr(0xA0)
 
@@ -138,3 +141,53 @@ def test_ids_over_many_blocks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [int(r["Tr1"]) for r in rows] == [*range(2000), *range(2000)]
     assert [r["row_id"] for r in rows] == [*range(2000), *((1 << corpus.FILE_BITS) + i for i in range(2000))]
+
+
+def _messy(rng):
+    t = " ".join(rng.choice(["a", "bb", "ccc", "\u00e9"]) for _ in range(rng.randint(1, 6)))
+    return rng.choice([t, t, t.replace(" ", "\n"), f'say "{t}"\n"end" ok', "tab\there", "x" + "\n\n" * 400 + "z", '"', "", "\n"])
+
+
+def test_quoted_records_over_blocks(spark, tmp_path):
+    """Blocks that begin inside a field, or lie in one as a whole; both line ends; quotes within plain fields."""
+    rng, want = random.Random(3), []
+    for f, (end, quoting) in enumerate([("\n", csv.QUOTE_MINIMAL), ("\n", csv.QUOTE_ALL), ("\r\n", csv.QUOTE_MINIMAL)]):
+        rows = [(f"f{f}", _messy(rng), _messy(rng), "en", "de") for _ in range(150)]
+        with open(tmp_path / f"{f}.tsv", "w", newline="", encoding="utf-8") as h:
+            csv.writer(h, delimiter="\t", lineterminator=end, quoting=quoting).writerows(rows)
+        want += [tuple(x or None for x in r) for r in rows]
+    (tmp_path / "9.tsv").write_text('f9\t5" disk\tit "was" so\ten\tde\n\nf9\t"q\nr"\t\ten\tde', encoding="utf-8")
+    (tmp_path / "empty.tsv").write_text("")
+    want += [("f9", '5" disk', 'it "was" so', "en", "de"), ("f9", "q\nr", None, "en", "de")]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+        rows = corpus.read_corpus(spark, str(tmp_path)).orderBy("row_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r[c] for c in corpus.CORPUS_COLUMNS) for r in rows] == want
+    assert len({r["row_id"] for r in rows}) == len(want)
+
+
+def test_commits_are_made_once(spark, tmp_path):
+    assert commits.committed(spark, str(tmp_path)) == {}
+    assert commits.commit(spark, str(tmp_path), "1", "first") and not commits.commit(spark, str(tmp_path), "1", "second")
+    assert commits.committed(spark, str(tmp_path)) == {"1": "first"}
+
+
+def test_vocabulary_versions(spark, tmp_path):
+    path, schema = str(tmp_path), "piece string, score double, id int"
+    one = spark.createDataFrame([("a", -1.0, 0), ("b", -2.5, 1)], schema)
+    two = spark.createDataFrame([("a", -1.0, 0), ("b", -2.5, 2)], schema)
+    first = vocabulary.save_vocabulary(one, path, "bpe", ["#"])
+    assert vocabulary.save_vocabulary(one.orderBy("score"), path, "bpe", ["#"]) == first
+    others = [vocabulary.save_vocabulary(one, path, "unigram", ["#"]), vocabulary.save_vocabulary(two, path, "bpe", ["#"])]
+    assert len({first, *others}) == 3
+    assert [v["version"] for v in vocabulary.versions(spark, path)] == [first, *others]
+    pieces, kind, symbols = vocabulary.load_vocabulary(spark, path, first)
+    assert sorted(map(tuple, pieces.collect())) == [("a", -1.0, 0), ("b", -2.5, 1)] and (kind, symbols) == ("bpe", ["#"])
+    assert sorted(vocabulary.load_vocabulary(spark, path)[0].collect())[1]["id"] == 2
+    with pytest.raises(FileNotFoundError):
+        vocabulary.load_vocabulary(spark, path, "none")
