@@ -8,9 +8,14 @@ A range holds at most `width` rows, however the data is spread.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from duolex.functions.text import whitespace_tokens
+from duolex.session import stage
 
 # Fixed values.
 INFERENCE_BATCH = 30
@@ -20,6 +25,8 @@ RANGE_WIDTH = 1 << 20
 # Range sums are themselves added up in groups of this many.
 _FANOUT = 1 << 10
 SHARD_ROWS = 1_000_000
+# Rows of a range whose batch borders one task follows.
+BORDER_WIDTH = 1 << 18
 
 
 def _before(sums: DataFrame, n: int) -> DataFrame:
@@ -74,6 +81,152 @@ def token_batches(df: DataFrame, n_tokens: str, order: str, budget: int = TOKEN_
         "batch_id", F.floor(F.greatest(F.col("_sum") - 1, F.lit(0)) / budget).cast("bigint")).drop("_sum")
 
 
+def _follow(sizes: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row as the first of a batch: the first row of the next one, batches closed before the end, last fill.
+
+    A batch closes before the row that would take it past the budget; a row that is larger is alone. A fill
+    past the budget counts as `budget + 1`, so that nothing joins such a row, not even an empty one.
+    """
+    n = len(sizes)
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    following = np.maximum(np.searchsorted(total[1:], total[:-1] + budget, side="right"), np.arange(n) + 1)
+    closed, fill = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+    for i in range(n - 1, -1, -1):
+        j = following[i]
+        if j < n:
+            closed[i], fill[i] = closed[j] + 1, fill[j]
+        else:
+            fill[i] = min(total[n] - total[i], budget + 1)
+    return following, closed, fill
+
+
+def _first_border(sizes: np.ndarray, fill: np.ndarray | int, budget: int):
+    """The row before which a batch that comes in with `fill` closes; the number of rows if none."""
+    return np.searchsorted(np.cumsum(sizes), budget - np.asarray(fill), side="right")
+
+
+def _outcomes(sizes: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Batches closed within the rows, and the fill after them, for every fill from 0 to budget + 1 before them."""
+    _, closed, fill = _follow(sizes, budget)
+    states = np.arange(budget + 2)
+    first = np.where(states > budget, 0, _first_border(sizes, np.minimum(states, budget), budget))
+    through = first == len(sizes)
+    at = np.where(through, 0, first)
+    return np.where(through, 0, closed[at] + 1), np.where(through, states + sizes.sum(), fill[at])
+
+
+def _packed(closed: np.ndarray, fill: np.ndarray) -> dict:
+    return {"closed": closed.astype("<i8").tobytes(), "fill": fill.astype("<i4").tobytes()}
+
+
+def _maps(part: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for number, closed, fill in part.sort_values("_range")[["_range", "closed", "fill"]].itertuples(index=False):
+        yield number, np.frombuffer(closed, "<i8"), np.frombuffer(fill, "<i4")
+
+
+_MAP = "_range long, closed binary, fill binary"
+_ENTRY = "_range long, _batch long, _fill long"
+
+
+def _entries(maps: DataFrame, n: int, fanout: int) -> DataFrame:
+    """_range, _batch, _fill: the open batch and its fill before each range, by groups of `fanout` ranges.
+
+    The map of a group is that of its ranges one after another. Groups are treated likewise, so no task holds
+    more than `fanout` maps.
+    """
+    grouped = maps.withColumn("_group", F.floor(F.col("_range") / F.lit(fanout)).cast("bigint"))
+
+    def walk(part: pd.DataFrame, batch: int, fill: int) -> pd.DataFrame:
+        out = []
+        for number, closed, after in _maps(part):
+            out.append((number, batch, fill))
+            batch, fill = batch + closed[fill], after[fill]
+        return pd.DataFrame(out, columns=["_range", "_batch", "_fill"])
+
+    if n <= fanout:
+        return grouped.groupBy("_group").applyInPandas(lambda part: walk(part, 0, 0), _ENTRY)
+
+    def compose(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        total = at = None
+        for _, closed, fill in _maps(part):
+            total, at = (closed, fill) if at is None else (total + closed[at], fill[at])
+        return pd.DataFrame([{"_range": key[0], **_packed(total, at)}])
+
+    groups = stage(grouped.groupBy("_group").applyInPandas(compose, _MAP), "batch-maps")
+    above = _entries(groups, -(-n // fanout), fanout).withColumnRenamed("_range", "_group")
+    return grouped.groupBy("_group").cogroup(above.groupBy("_group")).applyInPandas(
+        lambda part, entry: walk(part, int(entry["_batch"][0]), int(entry["_fill"][0])) if len(part) else
+        pd.DataFrame(columns=["_range", "_batch", "_fill"]), _ENTRY)
+
+
+def _with_borders(rows: DataFrame, borders: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """Gives each row the `batch_id` of the last border at or before it in its group."""
+    marks = borders.withColumn("_mark", F.lit(0))
+    both = rows.withColumn("_mark", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    so_far = W.partitionBy(group).orderBy(*order, "_mark").rowsBetween(W.unboundedPreceding, 0)
+    return both.withColumn("batch_id", F.max("batch_id").over(so_far)).filter("_mark = 1").drop("_mark")
+
+
+def full_batches(df: DataFrame, n_tokens: str, order: str, budget: int = TOKEN_BUDGET, width: int = BORDER_WIDTH,
+                 fanout: int = _FANOUT) -> DataFrame:
+    """Adds `batch_id`: rows in order, a batch closes before the row that would take it past the budget.
+
+    No batch holds more than `budget` tokens unless a row alone does. Where a batch begins depends on all
+    before it, so each range of rows is followed for every fill that it may be entered with; these maps are
+    joined in groups, and only then is each range told its own. Sizes move twice, the rows once. A missing
+    size counts as none.
+    """
+    clean = df.withColumn("_size", F.coalesce(F.col(n_tokens).cast("bigint"), F.lit(0)))
+    placed = stage(position(clean, order, "_place"), "places").withColumn(
+        "_range", F.floor(F.col("_place") / F.lit(width)).cast("bigint"))
+    last = placed.agg(F.max("_range")).first()[0] or 0
+    sizes = placed.select("_range", "_place", "_size")
+
+    def outcome(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        found = _outcomes(part.sort_values("_place")["_size"].to_numpy(), budget)
+        return pd.DataFrame([{"_range": key[0], **_packed(*found)}])
+
+    def borders(part: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_place")
+        sizes, places = part["_size"].to_numpy(), part["_place"].to_numpy()
+        batch, fill, number = int(entry["_batch"][0]), int(entry["_fill"][0]), int(entry["_range"][0])
+        out = [(number, places[0], batch)]
+        following, _, _ = _follow(sizes, budget)
+        at = int(_first_border(sizes, fill, budget)) if fill <= budget else 0
+        if number == 0:  # no batch is open before the first row
+            at = following[0]
+        while at < len(sizes):
+            batch += 1
+            out.append((number, places[at], batch))
+            at = following[at]
+        return pd.DataFrame(out, columns=["_range", "_place", "batch_id"])
+
+    maps = sizes.groupBy("_range").applyInPandas(outcome, _MAP)
+    if last == 0:
+        entries = sizes.select("_range").distinct().selectExpr("_range", "0L AS _batch", "0L AS _fill")
+    else:
+        entries = _entries(stage(_first_range_opens(maps, sizes, budget), "batch-maps"), last + 1, fanout)
+    found = sizes.groupBy("_range").cogroup(entries.groupBy("_range")).applyInPandas(
+        borders, "_range long, _place long, batch_id long")
+    return _with_borders(placed, found, "_range", ["_place"]).drop("_range", "_place", "_size")
+
+
+def _first_range_opens(maps: DataFrame, sizes: DataFrame, budget: int) -> DataFrame:
+    """The maps, where that of the first range knows that no batch is open before its first row.
+
+    A first row past the budget closes nothing, though a batch of empty rows would close before it.
+    """
+    first = sizes.filter("_range = 0 and _place = 0").select((F.col("_size") > budget).alias("large")).first()
+    if not first or not first["large"]:
+        return maps
+
+    def shift(closed: pd.Series) -> pd.Series:
+        return closed.map(lambda c: (np.frombuffer(c, "<i8") - 1).astype("<i8").tobytes())
+
+    fewer = F.pandas_udf(shift, "binary")
+    return maps.withColumn("closed", F.when(F.col("_range") == 0, fewer("closed")).otherwise(F.col("closed")))
+
+
 def token_counts(df: DataFrame, text: str) -> DataFrame:
     """token, n. Counts combine in each task before the shuffle."""
     return df.select(F.explode(whitespace_tokens(text)).alias("token")).groupBy("token").agg(
@@ -94,16 +247,38 @@ def side_vocabularies(df: DataFrame, src: str, tgt: str, size: int) -> DataFrame
 
 
 def training_rows(df: DataFrame, src: str, tgt: str, order: str, shard_rows: int = SHARD_ROWS,
-                  budget: int = TOKEN_BUDGET, width: int = RANGE_WIDTH) -> DataFrame:
+                  budget: int = TOKEN_BUDGET, width: int = RANGE_WIDTH, hard: bool = False) -> DataFrame:
     """Examples with shard, length and batch.
 
     Shards are runs of `shard_rows` examples in input order. Within a shard
     examples go by length, and a batch is closed at each multiple of the budget,
-    which counts the longer side.
+    which counts the longer side. With `hard` it closes before the example that would
+    take it past the budget.
     """
     sized = df.withColumn("n_tokens", F.greatest(F.size(whitespace_tokens(src)), F.size(whitespace_tokens(tgt))))
     placed = position(sized, order, "_place", width)
     sharded = placed.withColumn("shard", F.floor(F.col("_place") / shard_rows).cast("bigint")).drop("_place")
+    if hard:
+        return _hard_shards(sharded, order, budget)
     by_length = W.partitionBy("shard").orderBy("n_tokens", order).rowsBetween(W.unboundedPreceding, 0)
     total = F.sum("n_tokens").over(by_length)
     return sharded.withColumn("batch_id", F.floor(F.greatest(total - 1, F.lit(0)) / budget).cast("bigint"))
+
+
+def _hard_shards(sharded: DataFrame, order: str, budget: int) -> DataFrame:
+    """Batches within each shard, whose sizes alone go to one task; shards are bounded."""
+    rows = stage(sharded.withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0))), "shards")
+
+    def borders(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["n_tokens", order])
+        following, _, _ = _follow(part["n_tokens"].to_numpy().astype(np.int64), budget)
+        starts, at = [], 0
+        while at < len(part):
+            starts.append(at)
+            at = following[at]
+        return part.iloc[starts].assign(batch_id=np.arange(len(starts)))[["shard", "n_tokens", order, "batch_id"]]
+
+    kind = dict(rows.dtypes)[order]
+    found = rows.select("shard", "n_tokens", order).groupBy("shard").applyInPandas(
+        borders, f"shard long, n_tokens int, `{order}` {kind}, batch_id long")
+    return _with_borders(rows, found, "shard", ["n_tokens", order])

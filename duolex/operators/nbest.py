@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import random
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from duolex.operators.batches import INFERENCE_BATCH, fixed_batches
-from duolex.session import stage
+from duolex.operators.batches import INFERENCE_BATCH, fixed_batches, position
+from duolex.session import delete_staged, stage
+from duolex.sources.commits import commit, committed
+
+# Sources whose results are committed together.
+RANGE_ROWS = 10_000_000
 
 # Decoding defaults. The lengths bound what a decoder writes; pass them to yours.
 N_BEST = 1
@@ -193,3 +198,41 @@ def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", or
     return best.select(order, "src", F.transform("candidates", lambda c: result(
         c, replace_unknown(c["tokens"], c["attn"], source_tokens) if replace_unk else c["tokens"],
     )).alias("translation"))
+
+
+def _asked(df: DataFrame, src: str, order: str) -> str:
+    """A number that changes with any source, its place or their count."""
+    mark = F.xxhash64(F.col(order).cast("bigint"), F.col(src).isNull(), F.col(src)).cast("decimal(38,0)")
+    rows, total = df.agg(F.count(F.lit(1)), F.sum(mark)).first()
+    return f"{rows}:{total}"
+
+
+def translate_into(df: DataFrame, load: Callable[[], Predictor], path: str, src: str = "src", order: str = "row_id",
+                   range_rows: int = RANGE_ROWS, **options) -> DataFrame:
+    """`translate`, whose results are kept below `path` range by range; returns all of them.
+
+    A range is a run of `range_rows` sources in order. Its results go to a folder of their own, and a commit
+    that names the folder counts them in, once: a job that died goes on with the ranges that have none, and of
+    two jobs at work on one range one has its results read. `path` belongs to one table of sources; another
+    one is an error, as its ranges would be taken for done. Work of an executor that is lost is done again
+    within its range only. Commits are one small file a range.
+    """
+    spark = df.sparkSession
+    asked = stage(df.select(F.col(order).cast("bigint").alias(order), F.col(src).alias("src")), "sources")
+    placed = stage(position(asked, order, "_place").withColumn("_range", F.floor(F.col("_place") / range_rows)), "placed")
+    key = f"{_asked(asked, 'src', order)}:{range_rows}"
+    commit(spark, f"{path}/job", "sources", key)
+    if committed(spark, f"{path}/job")["sources"] != key:
+        raise ValueError(f"{path} holds results for other sources")
+    ranges = (placed.agg(F.max("_range")).first()[0] or 0) + 1
+    done = committed(spark, path)
+    for number in range(ranges):
+        name = f"{number:08d}"
+        if name not in done:
+            folder = f"results/{name}-{uuid.uuid4().hex[:8]}"
+            part = placed.filter(F.col("_range") == number).select(order, "src")
+            translate(part, load, "src", order, **options).write.parquet(f"{path}/{folder}")
+            commit(spark, path, name, folder)
+    for staged in (asked, placed):
+        delete_staged(staged)
+    return spark.read.parquet(*[f"{path}/{folder}" for folder in committed(spark, path).values()])

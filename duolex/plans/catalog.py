@@ -11,9 +11,9 @@ from duolex.functions import metrics, text
 from duolex.operators import (
     batches, decontaminate, dedupe, langid, lexicon, nbest, quality, routing, segments, subwords,
 )
-from duolex.plans import clean
+from duolex.plans import clean, training
 from duolex.session import stage, work_dir
-from duolex.sources import corpus, derived, sinks
+from duolex.sources import corpus, derived, sinks, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -336,6 +336,57 @@ def _rename_files(spark: SparkSession, folder: str) -> None:
         store.rename(path(f"{folder}/{name}"), path(f"{folder}/corpus-{n}.csv"))
 
 
+def _file_per_pair(spark: SparkSession, d: str) -> str:
+    """The pairs as a corpus folder: a TSV file for each `Filename`, rows in order."""
+    folder, files = _fresh(spark, "by-pair"), _fresh(spark, "corpus-folder")
+    rows = derived.pairs(spark, d).repartition("Filename").sortWithinPartitions("Filename", "row_id")
+    sinks.write_tsv_by(rows.select("Filename", *corpus.CORPUS_COLUMNS), folder, "Filename")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path(files))
+    for part in store.globStatus(path(f"{folder}/Filename=*/part-*")):
+        name = part.getPath().getParent().getName().split("=", 1)[1]
+        store.rename(part.getPath(), path(f"{files}/{name}.tsv"))
+    return files
+
+
+@query
+def job_clean_folder(spark, d):
+    """The folder job from files to files: the header-less pairs that it keeps."""
+    target = _fresh(spark, "cleaned")
+    clean.clean_folder(spark, _file_per_pair(spark, d), target, _profiles(spark, d))
+    return corpus.read_corpus(spark, f"{target}/final").select(*corpus.CORPUS_COLUMNS)
+
+
+@query
+def sink_step_table(spark, d):
+    """The step table that the folder job writes, with the bare names of the files it read."""
+    target = _fresh(spark, "cleaned")
+    counts = clean.clean_folder(spark, _file_per_pair(spark, d), target, _profiles(spark, d))
+    return spark.read.schema(counts.schema).option("sep", "\t").option("header", True).csv(f"{target}/table_segments")
+
+
+@query
+def src_corpus_tsv_blocks(spark, d):
+    """One file of all pairs, whose texts have line ends in them, read in many blocks; rows keep their order."""
+    path = _fresh(spark, "one-file")
+    rows = derived.pairs(spark, d).withColumns({
+        "Tr1": F.replace("Tr1", F.lit(" "), F.lit("\n")), "Tr2": F.concat(F.lit('"'), F.col("Tr2"))})
+    sinks.write_tsv(rows.repartitionByRange(1, "row_id").sortWithinPartitions("row_id").select(
+        F.col("row_id").cast("string").alias("File"), *corpus.CORPUS_COLUMNS[1:]), path, header=False)
+    blocks = {"spark.sql.files.maxPartitionBytes": str(64 << 10), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in blocks}
+    try:
+        for k, v in blocks.items():
+            spark.conf.set(k, v)
+        read = corpus.read_corpus(spark, path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    placed = batches.position(read, "row_id", "place")
+    return placed.select("place", *corpus.CORPUS_COLUMNS)
+
+
 @query
 def job_read_folders(spark, d):
     """Pairs per text over files of the same name in two folders; ids must tell all rows apart."""
@@ -517,6 +568,36 @@ def win_token_batches(spark, d):
     return batches.token_batches(stage(rows, "lengths"), "n_tokens", "row_id")
 
 
+@query
+def win_token_batches_full(spark, d):
+    """Batches that never pass the budget unless one row alone does."""
+    rows = _segments(spark, d).select("row_id", F.size(text.whitespace_tokens("src")).alias("n_tokens"))
+    return batches.full_batches(stage(rows, "lengths"), "n_tokens", "row_id")
+
+
+@query
+def job_build_training_files(spark, d):
+    """The whole training set, written and read again: sums of each batch beside what the manifest says."""
+    path = _fresh(spark, "training-set")
+    manifest = training.build_training_set(_segments(spark, d), path, shard_rows=1000)
+    sums = training.read_training_set(spark, path).groupBy("shard", "batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_tokens").cast("bigint").alias("tokens"),
+        F.sum("unknown_src").alias("unknown_src"), F.sum("unknown_tgt").alias("unknown_tgt"))
+    return sums.join(manifest.select("shard", "examples", "batches", "largest_batch"), "shard")
+
+
+@query
+def src_vocab(spark, d):
+    """A vocabulary that was learned, saved twice and loaded again."""
+    path = _fresh(spark, "vocabularies")
+    learned = stage(subwords.learn_subwords(_documents(spark, d), "text", "char"), "vocabulary")
+    version = vocabulary.save_vocabulary(learned, path, "char")
+    vocabulary.save_vocabulary(learned.repartition(3), path, "char")
+    pieces, model_type, _ = vocabulary.load_vocabulary(spark, path, version)
+    saved = len(vocabulary.versions(spark, path))
+    return _rounded(pieces).withColumns({"model_type": F.lit(model_type), "versions": F.lit(saved)})
+
+
 @query
 def job_build_training_set(spark, d):
     rows = stage(_segments(spark, d), "segments")
@@ -591,6 +672,11 @@ def load_counter():
     return lambda sources: [[([], [], float(i))] for i in range(len(sources))]
 
 
+def load_nothing():
+    """A stand-in that must not be asked."""
+    raise RuntimeError("all ranges are done")
+
+
 @query
 def job_exact_batches(spark, d):
     done = nbest.translate(_segments(spark, d), load_counter, exact_batches=True)
@@ -602,3 +688,14 @@ def job_batch_translate(spark, d):
     done = nbest.translate(_segments(spark, d), load_copier, n_best=2, phrase_table=_phrases(spark, d))
     return done.select("row_id", F.posexplode("translation").alias("rank", "t")).select(
         "row_id", "rank", "t.sent", "t.score")
+
+
+@query
+def job_translate_resumed(spark, d):
+    """Translation kept range by range; the second call finds all ranges done and asks no predictor."""
+    path, rows = _fresh(spark, "translations"), stage(_segments(spark, d).select("row_id", "src"), "segments")
+    size = max(1, -(-rows.count() // 4))
+    nbest.translate_into(rows, load_copier, path, range_rows=size, n_best=2, phrase_table=_phrases(spark, d))
+    done = nbest.translate_into(rows, load_nothing, path, range_rows=size, n_best=2)
+    return done.select("row_id", F.posexplode("translation").alias("rank", "t")).select(
+        "row_id", "rank", "t.sent", "t.score")

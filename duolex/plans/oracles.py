@@ -269,6 +269,21 @@ sharded AS (SELECT *, (row_number() OVER (ORDER BY row_id) - 1) // 1000 AS shard
 training AS (SELECT row_id, shard, n_tokens, greatest(sum(n_tokens) OVER (PARTITION BY shard
              ORDER BY n_tokens, row_id ROWS UNBOUNDED PRECEDING) - 1, 0)::BIGINT // 4096 AS batch_id FROM sharded)"""
 
+
+
+def _greedy(rows: str, group: str, order: str) -> str:
+    """Batches of `rows`(row_id, n_tokens, ...): each begins where the one before would pass 4,096 tokens."""
+    return f"""
+placed AS MATERIALIZED (SELECT *, row_number() OVER w - 1 AS place, coalesce(sum(n_tokens) OVER w, 0)::BIGINT AS upto
+           FROM {rows} WINDOW w AS (PARTITION BY {group} ORDER BY {order} ROWS UNBOUNDED PRECEDING)),
+reached AS (SELECT {group} AS g, upto, min(place) AS place FROM placed GROUP BY ALL),
+follows AS MATERIALIZED (SELECT p.{group} AS g, p.place, greatest(p.place + 1, r.place) AS next
+            FROM placed p ASOF JOIN reached r ON r.g = p.{group} AND r.upto >= p.upto - coalesce(p.n_tokens, 0) + 4097),
+borders AS (SELECT DISTINCT {group} AS g, 0::BIGINT AS place, 0::BIGINT AS batch_id FROM placed
+            UNION ALL SELECT b.g, f.next, b.batch_id + 1 FROM borders b JOIN follows f ON f.g = b.g AND f.place = b.place),
+greedy AS (SELECT p.*, b.batch_id FROM placed p ASOF JOIN borders b ON b.g = p.{group} AND p.place >= b.place)"""
+
+
 _PHRASES = """
 phrases AS (SELECT DISTINCT w AS token, '<' || w || '>' AS replacement FROM (
               SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM benchmark))"""
@@ -466,6 +481,31 @@ def all_oracles() -> dict[str, str]:
                // 4096 AS batch_id FROM sized"""
     out["job_build_training_set"] = f"{p}, {_TRAINING} SELECT row_id, shard, n_tokens, batch_id FROM training"
 
+    out["win_token_batches_full"] = f"""{p.replace('WITH', 'WITH RECURSIVE', 1)},
+        sized AS (SELECT 0 AS one, row_id, len({_tokens('Tr1')}) AS n_tokens FROM pairs), {_greedy('sized', 'one', 'row_id')}
+        SELECT row_id, n_tokens, batch_id FROM greedy"""
+    lacking = "".join(f""",
+        words_{s} AS (SELECT row_id, unnest({_tokens(s)}) AS w FROM {_SEGMENTS}),
+        top_{s} AS (SELECT w, count(*) AS c FROM words_{s} GROUP BY w ORDER BY c DESC, w LIMIT 7997),
+        lacking_{s} AS (SELECT row_id, count(*) AS n FROM words_{s} WHERE w NOT IN (SELECT w FROM top_{s}) GROUP BY row_id)"""
+                      for s in ("src", "tgt"))
+    out["job_build_training_files"] = f"""{p.replace('WITH', 'WITH RECURSIVE', 1)}, {_TRAINING},
+        counted AS (SELECT row_id, shard, coalesce(n_tokens, 0) AS n_tokens FROM training),
+        {_greedy('counted', 'shard', 'n_tokens, row_id')}{lacking},
+        sums AS (SELECT shard, batch_id, count(*) AS n, sum(n_tokens)::BIGINT AS tokens,
+                        coalesce(sum(s.n), 0)::BIGINT AS unknown_src, coalesce(sum(t.n), 0)::BIGINT AS unknown_tgt
+                 FROM greedy g LEFT JOIN lacking_src s USING (row_id) LEFT JOIN lacking_tgt t USING (row_id)
+                 GROUP BY shard, batch_id)
+        SELECT *, (sum(n) OVER w)::BIGINT AS examples, count(*) OVER w AS batches, max(tokens) OVER w AS largest_batch
+        FROM sums WINDOW w AS (PARTITION BY shard)"""
+    chars = _vocabulary(f"""SELECT c AS piece, count(*) AS n FROM (
+        SELECT unnest(string_split(w, '')) AS c FROM ({_MARKED_WORDS})) GROUP BY c""", 7997)
+    out["src_vocab"] = f"SELECT *, 'char' AS model_type, 1 AS versions FROM ({chars})"
+    out["job_clean_folder"] = f"WITH {_AUDIT} SELECT File, Tr1, Tr2, Lang1, Lang2 FROM audit WHERE drop_stage IS NULL"
+    out["sink_step_table"] = f"SELECT * REPLACE (Filename || '.tsv' AS Filename) FROM ({out['agg_step_table']})"
+    out["src_corpus_tsv_blocks"] = f"""{p} SELECT row_number() OVER (ORDER BY row_id) - 1 AS place, row_id::VARCHAR AS File,
+        replace(Tr1, ' ', chr(10)) AS Tr1, '"' || Tr2 AS Tr2, Lang1, Lang2 FROM pairs"""
+
     out["win_fixed_batches"] = f"""{p} SELECT row_id, (row_number() OVER (ORDER BY row_id) - 1) // 30 AS batch_id FROM pairs"""
     best = """SELECT conv_id, turn, -length(text) AS score, row_number() OVER (
         PARTITION BY conv_id ORDER BY -length(text) DESC, turn) AS rank FROM conversations QUALIFY rank <= 5"""
@@ -489,4 +529,5 @@ def all_oracles() -> dict[str, str]:
                          string_agg(w, ' ' ORDER BY i DESC) AS back FROM done GROUP BY row_id)
         SELECT row_id, 0 AS rank, forth AS sent, -n::DOUBLE AS score FROM sents
         UNION ALL SELECT row_id, 1, back, -n::DOUBLE - 1 FROM sents"""
+    out["job_translate_resumed"] = out["job_batch_translate"]
     return out

@@ -6,6 +6,8 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from duolex.operators import batches, lexicon, nbest
+from duolex.plans import training
+from duolex.sources.vocabulary import load_vocabulary
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -127,3 +129,81 @@ def test_nbest_hot_source(spark):
                                     F.col("id").alias("c"), (F.col("id") % 100).cast("double").alias("score"))
     top = nbest.top_nbest(df, "src_id", "score", "c", 2).filter("src_id = 0").orderBy("rank").collect()
     assert [(r["c"], r["score"]) for r in top] == [(199, 99.0), (299, 99.0)]
+
+
+def _greedy(sizes, budget):
+    out, batch, fill, empty = [], 0, 0, True
+    for n in sizes:
+        if not empty and (fill > budget or fill + (n or 0) > budget):
+            batch, fill = batch + 1, 0
+        empty, fill = False, fill + (n or 0)
+        out.append(batch)
+    return out
+
+
+@pytest.mark.parametrize("first", [[], [25], [0, 0, 25], [None, 10, 0]])
+def test_full_batches(spark, first):
+    """Against one pass row by row; rows past the budget, empty ones and missing sizes among them."""
+    rng = random.Random(len(first))
+    sizes = first + [rng.choice([0, 0, 1, 3, 5, 9, 25, None]) for _ in range(120)]
+    df = spark.createDataFrame([(i * 37, s) for i, s in enumerate(sizes)], "id long, n int").repartition(3)
+    for width, fanout in ((1000, 4), (7, 3), (1, 5)):
+        rows = batches.full_batches(df, "n", "id", 10, width, fanout).orderBy("id").collect()
+        assert [r["batch_id"] for r in rows] == _greedy(sizes, 10)
+        assert [r["n"] for r in rows] == sizes
+
+
+def test_full_batches_of_nothing(spark):
+    assert batches.full_batches(spark.createDataFrame([], "id long, n int"), "n", "id").collect() == []
+
+
+def test_training_files(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " ".join("w" * rng.randint(1, 3) for _ in range(rng.randint(1, 6))), None if i % 9 == 0 else "t " * rng.randint(1, 14)) for i in range(90)]
+    df = spark.createDataFrame(rows, "row_id long, src string, tgt string")
+    manifest = training.build_training_set(df, str(tmp_path / "t"), vocab_size=5, shard_rows=40, budget=16).orderBy("shard").collect()
+    made = training.read_training_set(spark, str(tmp_path / "t")).collect()
+    words = [w for _, s, _ in rows for w in s.split()]
+    known = sorted(set(words), key=lambda w: (-words.count(w), w))[:2]
+    size = {i: max(len(s.split()), len((t or "").split())) for i, s, t in rows}
+    for m in manifest:
+        here = sorted((r["n_tokens"], r["row_id"], r["batch_id"]) for r in made if r["shard"] == m["shard"])
+        ids = list(range(m["shard"] * 40, min(m["shard"] * 40 + 40, 90)))
+        assert [r[1] for r in here] == sorted(ids, key=lambda i: (size[i], i))
+        assert [r[2] for r in here] == _greedy([size[i] for _, i, _ in here], 16)
+        assert (m["examples"], m["tokens"], m["batches"]) == (len(ids), sum(size[i] for i in ids), here[-1][2] + 1)
+        assert m["largest_batch"] <= 16
+    text = {i: s for i, s, _ in rows}
+    assert all(r["unknown_src"] == sum(w not in known for w in text[r["row_id"]].split()) for r in made)
+    pieces, kind, _ = load_vocabulary(spark, str(tmp_path / "t/vocabularies/src"))
+    assert kind == "word" and pieces.count() == 5
+
+
+def test_translation_goes_on_where_it_stopped(spark, tmp_path):
+    """The predictor dies in the third of five ranges; the second job asks it for the rest alone."""
+    calls, path = spark.sparkContext.accumulator(0), str(tmp_path / "done")
+
+    def load_dying():
+        def predict(sources):
+            calls.add(len(sources))
+            if "25" in sources:
+                raise RuntimeError("no more")
+            return [[([s], [[1.0]], 0.0)] for s in sources]
+        return predict
+
+    def load_counted():
+        def predict(sources):
+            calls.add(len(sources))
+            return [[([s], [[1.0]], 0.0)] for s in sources]
+        return predict
+
+    df = spark.range(50).select(F.col("id").alias("row_id"), F.col("id").cast("string").alias("src"))
+    with pytest.raises(Exception, match="no more"):
+        nbest.translate_into(df, load_dying, path, range_rows=10)
+    calls.value = 0
+    rows = nbest.translate_into(df, load_counted, path, range_rows=10).collect()
+    assert calls.value == 30
+    assert sorted((r["row_id"], r["translation"][0]["sent"]) for r in rows) == [(i, str(i)) for i in range(50)]
+    assert nbest.translate_into(df, load_counted, path, range_rows=10).count() == 50 and calls.value == 30
+    with pytest.raises(ValueError):
+        nbest.translate_into(df.limit(49), load_counted, path, range_rows=10)
