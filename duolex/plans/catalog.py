@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from duolex.functions import metrics, text
 from duolex.operators import (
-    batches, decontaminate, dedupe, langid, lexicon, nbest, quality, routing, segments, subwords,
+    batches, decontaminate, dedupe, langid, lexicon, nbest, quality, routing, segments, sentences, subwords,
 )
 from duolex.plans import clean, training
 from duolex.session import stage, work_dir
@@ -281,6 +281,20 @@ def split_sentences(spark, d):
         "doc_id", F.posexplode(text.split_sentences("text")).alias("sent_no", "sentence"))
 
 
+@query
+def learn_abbreviations(spark, d):
+    docs = derived.spread(derived.table(spark, d, "documents"))
+    return sentences.learn_abbreviations(docs).select("lang", "token", "n", "dotted", _r6("score").alias("score"))
+
+
+@query
+def split_sentences_lang(spark, d):
+    """Sentences by the abbreviations of each document's language, learned from all documents."""
+    docs = derived.spread(derived.table(spark, d, "documents").select("doc_id", "text", "lang"))
+    found = sentences.split_by_language(docs, sentences.learn_abbreviations(docs))
+    return found.select("doc_id", F.posexplode("sentences").alias("sent_no", "sentence"))
+
+
 @query
 def job_step4_sentence_split(spark, d):
     tagged = derived.pairs(spark, d).withColumns({

@@ -284,6 +284,33 @@ borders AS (SELECT DISTINCT {group} AS g, 0::BIGINT AS place, 0::BIGINT AS batch
 greedy AS (SELECT p.*, b.batch_id FROM placed p ASOF JOIN borders b ON b.g = p.{group} AND p.place >= b.place)"""
 
 
+# Abbreviations per language and the sentences that they leave whole.
+_WIDE = "。！？｡"
+_CLOSE = "\"'')\\]»”’」』）"
+_STOP = ".!?؟۔।॥…"
+_DOTTED = r"'^[^\p{L}\p{N}]*(\p{L}+(?:\.\p{L}+)*)(\.?)[ \t\n\r]*$'"
+_ABBREVIATIONS = f"""
+toks AS MATERIALIZED (SELECT doc_id, lang, regexp_extract_all(regexp_replace(text, '([{_WIDE}][{_WIDE}{_CLOSE}]*)', '\\1 ', 'g'),
+                                                 '[^ \\t\\n\\r]+[ \\t\\n\\r]*') AS t FROM documents),
+words AS (SELECT lang, lower(regexp_extract(x, {_DOTTED}, 1)) AS token, regexp_extract(x, {_DOTTED}, 2) AS dot
+          FROM (SELECT lang, unnest(t) AS x FROM toks)),
+counts AS (SELECT lang, token, count(*) AS n, count(*) FILTER (dot = '.') AS dotted FROM words WHERE token <> '' GROUP BY ALL),
+shares AS (SELECT lang, sum(dotted)::DOUBLE / sum(n) AS p FROM counts GROUP BY lang),
+parts AS (SELECT c.*, p, n - dotted AS bare, length(token) - length(replace(token, '.', '')) AS stops,
+                 length(replace(token, '.', '')) AS letters FROM counts c JOIN shares s ON s.lang IS NOT DISTINCT FROM c.lang),
+scored AS (SELECT lang, token, n, dotted, 2 * (dotted * (ln(0.99::DOUBLE) - ln(p)) + bare * (ln(0.01::DOUBLE) - ln(1 - p)))
+                  * exp(-letters) * (stops + 1) * power(letters::DOUBLE, -bare) AS score FROM parts WHERE dotted > 0),
+abbr AS MATERIALIZED (SELECT * FROM scored WHERE score >= 0.3)"""
+_BY_LANGUAGE = f"""
+lists AS (SELECT lang, list(token) AS known FROM abbr GROUP BY lang),
+split AS (SELECT doc_id, t, coalesce(known, []) AS known FROM toks LEFT JOIN lists ON lists.lang IS NOT DISTINCT FROM toks.lang),
+ended AS (SELECT doc_id, t, list_filter(range(1, len(t) + 1), lambda i: i = len(t) OR (
+            regexp_matches(t[i], '(?:[{_STOP}][{_STOP}{_CLOSE}]*|[{_WIDE}][{_WIDE}{_CLOSE}]*)[ \\t\\n\\r]*$')
+            AND NOT (regexp_extract(t[i], {_DOTTED}, 2) = '.' AND list_contains(known, lower(regexp_extract(t[i], {_DOTTED}, 1)))))) AS e
+          FROM split),
+sentences AS (SELECT doc_id, list_transform(e, lambda x, i: trim(array_to_string(
+            t[CASE WHEN i = 1 THEN 1 ELSE e[i - 1] + 1 END:x], ''), chr(32) || chr(9) || chr(10) || chr(13))) AS s FROM ended)"""
+
 _PHRASES = """
 phrases AS (SELECT DISTINCT w AS token, '<' || w || '>' AS replacement FROM (
               SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS w FROM benchmark))"""
@@ -530,4 +557,7 @@ def all_oracles() -> dict[str, str]:
         SELECT row_id, 0 AS rank, forth AS sent, -n::DOUBLE AS score FROM sents
         UNION ALL SELECT row_id, 1, back, -n::DOUBLE - 1 FROM sents"""
     out["job_translate_resumed"] = out["job_batch_translate"]
+    out["learn_abbreviations"] = f"WITH {_ABBREVIATIONS} SELECT lang, token, n, dotted, round(score, 6) AS score FROM abbr"
+    out["split_sentences_lang"] = f"""WITH {_ABBREVIATIONS}, {_BY_LANGUAGE}
+        SELECT doc_id, generate_subscripts(s, 1) - 1 AS sent_no, unnest(s) AS sentence FROM sentences"""
     return out
