@@ -4,25 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from duolex.operators.lookup import find_replacements
 
-def lookup_lexicon(df: DataFrame, text: str, key: str, lexicon: DataFrame) -> DataFrame:
-    """Replace blank-separated tokens by `lexicon(token, replacement)`, join-based.
 
-    Only distinct tokens of a row are looked up, only hits come back to the rows,
-    and a row is put together again from its own tokens, so no group grows
-    beyond one text. `key` names a row.
+def lookup_lexicon(df: DataFrame, text: str, key: str, lexicon: DataFrame, **limits) -> DataFrame:
+    """Replace blank-separated tokens by `lexicon(token, replacement)`.
+
+    Of several replacements of a token the least counts; a missing text stays missing. See
+    `find_replacements` for how a lexicon of any size is read; `key` names a row.
     """
-    tokens = df.select(key, F.explode(F.array_distinct(F.split(text, " ", -1))).alias("token"))
-    hits = (
-        tokens.join(lexicon.select("token", "replacement"), "token")
-        .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("token", "replacement"))).alias("_hits"))
-    )
-    rewritten = F.array_join(
-        F.transform(F.split(text, " ", -1),
-                    lambda t: F.coalesce(F.try_element_at(F.col("_hits"), t), t)), " ")
-    return (
-        df.join(hits, key, "left")
-        .withColumn(text, F.when(F.col("_hits").isNull(), F.col(text)).otherwise(rewritten))
-        .drop("_hits")
-    )
+    tokens = F.split(text, " ", -1)
+    asked = df.withColumn("_asked", F.array(F.coalesce(tokens, F.array().cast("array<string>"))))
+    found = find_replacements(asked, [key], "_asked", lexicon, "_found", **limits)
+    rewritten = F.array_join(F.zip_with(
+        F.col("_found")[0], F.col("_asked")[0], lambda r, t: F.coalesce(r, t)), " ")
+    return found.withColumn(text, F.when(F.col(text).isNotNull(), rewritten)).drop("_asked", "_found")

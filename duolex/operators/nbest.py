@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from duolex.operators.batches import INFERENCE_BATCH, fixed_batches, position
+from duolex.operators.lookup import find_replacements
 from duolex.session import delete_staged, stage
 from duolex.sources.commits import commit, committed
 
@@ -109,33 +110,30 @@ def replace_unknown(tokens: Column, attn: Column, source_tokens: Column) -> Colu
     )
 
 
+def _sought(tokens: Column, attn: Column, source_tokens: Column) -> Column:
+    """At each unknown output token the source token it attends to most, null elsewhere."""
+    found = F.transform(
+        tokens, lambda t, i: F.when(t == UNKNOWN, F.get(source_tokens, most_attended(attn, i))))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def _filled(tokens: Column, replacements: Column, sought: Column) -> Column:
+    better = F.zip_with(replacements, sought, lambda r, s: F.coalesce(r, s))
+    return F.zip_with(tokens, better, lambda t, b: F.coalesce(b, t))
+
+
 def lookup_phrase_table(df: DataFrame, keys: list[str], tokens: str, attn: str, source_tokens: str,
-                        table: DataFrame) -> DataFrame:
+                        table: DataFrame, **limits) -> DataFrame:
     """Unknown output tokens through a phrase table (token, replacement).
 
-    Tokens without an entry become the source token itself. Only unknown
-    positions are exploded and only hits come back; the table may be of any size
-    and `keys` must name a row.
+    Tokens without an entry become the source token itself. Attention is read once, and only the source
+    tokens sought are looked up. See `find_replacements` for how a table of any size is read; `keys` must
+    name a row.
     """
-    unknown = F.filter(
-        F.transform(F.col(tokens), lambda t, i: F.struct(i.alias("at"), t.alias("t"))),
-        lambda x: x["t"] == UNKNOWN)
-    sought = F.transform(unknown, lambda x: F.struct(
-        x["at"].alias("at"),
-        F.get(F.col(source_tokens), most_attended(F.col(attn), x["at"])).alias("token")))
-    asked = df.select(*keys, F.inline(sought))
-    hits = (
-        asked.join(table.select("token", "replacement"), "token")
-        .groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_list(F.struct("at", "replacement"))).alias("_hits"))
-    )
-    filled = replace_unknown(F.col(tokens), F.col(attn), F.col(source_tokens))
-    return (
-        df.join(hits, keys, "left")
-        .withColumn(tokens, F.transform(
-            filled, lambda t, i: F.coalesce(F.try_element_at(F.col("_hits"), i), t)))
-        .drop("_hits")
-    )
+    asked = df.withColumn("_asked", F.array(_sought(F.col(tokens), F.col(attn), F.col(source_tokens))))
+    found = find_replacements(asked, keys, "_asked", table, "_found", **limits)
+    filled = _filled(F.col(tokens), F.col("_found")[0], F.col("_asked")[0])
+    return found.withColumn(tokens, filled).drop("_asked", "_found")
 
 
 def top_nbest(candidates: DataFrame, source_id: str, score: str, cand_id: str, n: int = N_BEST) -> DataFrame:
@@ -157,7 +155,7 @@ def collect_nbest(ranked: DataFrame, source_id: str, fields: list[str]) -> DataF
 def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", order: str = "row_id",
               n_best: int = N_BEST, batch_size: int = INFERENCE_BATCH, seed: int = SEED,
               replace_unk: bool = True, phrase_table: DataFrame | None = None,
-              exact_batches: bool = False) -> DataFrame:
+              exact_batches: bool = False, **limits) -> DataFrame:
     """order, src, translation: the `n_best` candidates per row as an array of
     `(src, sent, attn, score)`, best first. Sort by `order` where it matters.
 
@@ -165,7 +163,8 @@ def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", or
     missing source reaches it as an empty one and stays missing in the result.
     Limits on length are the predictor's: bind them in `load`.
 
-    Candidates of a row stay in its row, so ranking them moves nothing.
+    Candidates of a row stay in its row, so ranking them moves nothing, nor does a phrase table of up to
+    the sizes in `limits` (see `find_replacements`).
     """
     found = predict_candidates(df, src, order, load, batch_size, seed, exact_batches)
     ranked = F.array_sort(
@@ -181,20 +180,12 @@ def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", or
                         c["attn"].alias("attn"), c["score"].alias("score"))
 
     if replace_unk and phrase_table is not None:
-        each = best.select(order, "src", F.posexplode_outer("candidates").alias("rank", "c")).select(
-            order, "src", "rank", F.col("c.tokens").alias("tokens"), F.col("c.attn").alias("attn"),
-            F.col("c.score").alias("score"), source_tokens.alias("source_tokens"))
-        # Read twice by the look-up; the predictor must not run twice.
-        each = stage(each, "candidates")
-        filled = lookup_phrase_table(each, [order, "rank"], "tokens", "attn", "source_tokens", phrase_table)
-        one = F.struct("rank", F.array_join("tokens", " ").alias("sent"), "attn", "score")
-        return (
-            filled.groupBy(order, "src").agg(F.sort_array(F.collect_list(
-                F.when(F.col("rank").isNotNull(), one))).alias("_all"))
-            .select(order, "src", F.transform("_all", lambda x: F.struct(
-                F.col("src").alias("src"), x["sent"].alias("sent"), x["attn"].alias("attn"),
-                x["score"].alias("score"))).alias("translation"))
-        )
+        asked = best.withColumn("_asked", F.transform(
+            "candidates", lambda c: _sought(c["tokens"], c["attn"], source_tokens)))
+        found = find_replacements(asked, [order], "_asked", phrase_table, "_found", **limits)
+        each = F.arrays_zip("candidates", "_found", "_asked")
+        return found.select(order, "src", F.transform(each, lambda z: result(
+            z["candidates"], _filled(z["candidates"]["tokens"], z["_found"], z["_asked"]))).alias("translation"))
     return best.select(order, "src", F.transform("candidates", lambda c: result(
         c, replace_unknown(c["tokens"], c["attn"], source_tokens) if replace_unk else c["tokens"],
     )).alias("translation"))

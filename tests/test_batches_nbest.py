@@ -124,6 +124,54 @@ def test_lexicon_join(spark):
     assert out == {0: "b a  b", 1: "zz", 2: None}
 
 
+# Fits; fits once unasked entries are left out; does not fit.
+SIZES = [{}, {"max_entries": 3}, {"max_entries": 0}]
+
+
+@pytest.mark.parametrize("limits", SIZES)
+def test_lexicon_of_any_size(spark, limits):
+    rows = [(i, " ".join(random.Random(i).choice(["a", "b", "", "cc", "a"]) for _ in range(i % 7))) for i in range(60)]
+    rows += [(60, None), (61, "a " * 4000 + "b")]
+    df = spark.createDataFrame(rows, "k long, s string").repartition(5)
+    entries = [("a", "y"), ("a", "x"), ("b", None), ("", "-"), (None, "n"), ("cc", "a b"), ("u", "v"), ("w", "v")]
+    table = spark.createDataFrame(entries, "token string, replacement string")
+    found = {"a": "x", "": "-", "cc": "a b"}
+    out = lexicon.lookup_lexicon(df, "s", "k", table, **limits)
+    assert out.columns == df.columns
+    assert {r["k"]: r["s"] for r in out.collect()} == {
+        k: None if s is None else " ".join(found.get(t, t) for t in s.split(" ")) for k, s in rows}
+    none = lexicon.lookup_lexicon(df, "s", "k", table.limit(0), **limits)
+    assert {r["k"]: r["s"] for r in none.collect()} == dict(rows)
+    assert lexicon.lookup_lexicon(df.limit(0), "s", "k", table, **limits).count() == 0
+
+
+@pytest.mark.parametrize("limits", SIZES)
+def test_phrase_table_of_any_size(spark, limits):
+    """Unknown tokens with, beyond and without an entry; the predictor runs once a source in any case."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def predict(sources):
+            calls.add(len(sources))
+            out = []
+            for s in sources:
+                t = s.split(" ")
+                attn = [[1.0 if j == i else 0.0 for j in range(len(t))] for i in range(len(t))]
+                out.append([(["<unk>"] * len(t), attn, 1.0), (t[:1], attn[:1], 2.0), (["<unk>"], [[]], 0.0)])
+            return [c if s else [] for c, s in zip(out, sources)]
+        return predict
+
+    rows = [(i, " ".join(random.Random(i).choice("abcd") for _ in range(1 + i % 5))) for i in range(50)] + [(50, None)]
+    df = spark.createDataFrame(rows, "row_id long, src string").repartition(3)
+    table = spark.createDataFrame([("a", "A"), ("b", "B b"), ("c", None), *[(f"z{i}", "z") for i in range(9)]],
+                                  "token string, replacement string")
+    found = {"a": "A", "b": "B b"}
+    got = nbest.translate(df, load, n_best=3, phrase_table=table, **limits).collect()
+    assert calls.value == 51
+    assert {r["row_id"]: [t["sent"] for t in r["translation"]] for r in got} == {
+        i: [] if s is None else [s.split(" ")[0], " ".join(found.get(t, t) for t in s.split(" ")), "<unk>"] for i, s in rows}
+
+
 def test_nbest_hot_source(spark):
     df = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("src_id"),
                                     F.col("id").alias("c"), (F.col("id") % 100).cast("double").alias("score"))
