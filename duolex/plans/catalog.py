@@ -13,7 +13,7 @@ from duolex.operators import (
 )
 from duolex.plans import clean, training
 from duolex.session import stage, work_dir
-from duolex.sources import corpus, derived, sinks, vocabulary
+from duolex.sources import corpus, derived, routed, sinks, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -84,6 +84,15 @@ def sink_routed_layout(spark, d):
     return spark.read.parquet(path).groupBy(*sinks.ROUTE_KEYS, "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def sink_routed_clustered(spark, d):
+    """Kept rows and rows to check, read back by the manifest with their texts."""
+    path = _fresh(spark, "clustered")
+    routed.write_clustered(_audit(spark, d), path, rows_per_file=10_000)
+    return routed.read_clustered(spark, path, routes=["final", "to_check"]).select(
+        *sinks.ROUTE_KEYS, "row_id", "sent_no", "Tr1", "Tr2", "reason")
+
+
 @query
 def sink_training_shards(spark, d):
     path = _fresh(spark, "shards")

@@ -376,6 +376,10 @@ def all_oracles() -> dict[str, str]:
                    UNION ALL SELECT 'to_check', Filename, Lang2, Lang1, 'inverted' FROM audit
                    WHERE drop_stage IS NULL AND inverted = 1)
         SELECT route, Filename, Lang1, Lang2, reason, count(*) AS n FROM routed GROUP BY ALL"""
+    out["sink_routed_clustered"] = f"""WITH {_AUDIT}
+        SELECT route, Filename, Lang1, Lang2, row_id, sent_no, Tr1, Tr2, reason FROM audit WHERE route <> 'to_delete'
+        UNION ALL SELECT 'to_check', Filename, Lang2, Lang1, row_id, sent_no, Tr2, Tr1, 'inverted' FROM audit
+        WHERE drop_stage IS NULL AND inverted = 1"""
     out["sink_training_shards"] = f"""{p}, {_TRAINING}
         SELECT shard, batch_id, count(*) AS n, sum(n_tokens)::BIGINT AS tokens FROM training GROUP BY ALL"""
 
