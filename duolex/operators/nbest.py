@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from duolex.operators.batches import INFERENCE_BATCH, fixed_batches, position
@@ -26,6 +27,8 @@ SEED = 829
 UNKNOWN = "<unk>"
 
 CANDIDATES = "array<struct<tokens:array<string>,attn:array<array<double>>,score:double>>"
+_ARROW_CANDIDATES = pa.list_(pa.struct({
+    "tokens": pa.list_(pa.string()), "attn": pa.list_(pa.list_(pa.float64())), "score": pa.float64()}))
 
 # A predictor maps a list of sources to, per source, a list of (tokens, attention, score).
 Predictor = Callable[[list[str]], list[list[tuple[list[str], list[list[float]], float]]]]
@@ -75,19 +78,25 @@ def predict_candidates(df: DataFrame, src: str, order: str, load: Callable[[], P
         batched = fixed_batches(stage(rows, "to-predict"), order, batch_size)
         return batched.repartition("batch_id").sortWithinPartitions("batch_id", order).mapInPandas(runs, schema)
 
-    def stream(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch(part: pa.Table, predict: Predictor) -> pa.RecordBatch:
+        ids, sources = part.column(0).combine_chunks(), part.column(1).combine_chunks()
+        found = _seeded(predict, [s or "" for s in sources.to_pylist()], seed)
+        return pa.RecordBatch.from_arrays([ids, sources, pa.array(found, _ARROW_CANDIDATES)], [order, "src", "candidates"])
+
+    def stream(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = load()
         held = None
         for part in parts:
-            held = part if held is None or held.empty else pd.concat([held, part], ignore_index=True)
+            part = pa.Table.from_batches([part])
+            held = part if held is None else pa.concat_tables([held, part])
             cut = len(held) - len(held) % batch_size
             for start in range(0, cut, batch_size):
-                yield frame(held.iloc[start:start + batch_size], predict)
-            held = held.iloc[cut:]
+                yield batch(held.slice(start, batch_size), predict)
+            held = held.slice(cut)
         if held is not None and len(held):
-            yield frame(held, predict)
+            yield batch(held, predict)
 
-    return rows.mapInPandas(stream, schema)
+    return rows.mapInArrow(stream, schema)
 
 
 def output_length_ok(tokens: Column, min_length: int = MIN_LENGTH, max_length: int = MAX_LENGTH) -> Column:
