@@ -19,6 +19,7 @@ HEADLINE = [
     "metric_cer", "metric_f_measure", "model_quality_evaluate", "job_learn_subwords_char", "job_learn_subwords_word",
     "job_apply_subwords_char", "topk_vocab", "win_token_batches",
     "job_build_training_set", "win_fixed_batches", "topk_nbest", "lookup_phrase_table", "job_batch_translate",
+    "lookup_lexicon", "sink_routed_clustered", "win_token_batches_full",
 ]
 
 
