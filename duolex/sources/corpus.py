@@ -16,6 +16,8 @@ CORPUS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CORPUS_C
 
 # Rows of one file that an id has room for; the number of the file stands above them.
 FILE_BITS = 38
+# Bytes of small blocks that one task reads.
+TASK_BYTES = 32 << 20
 
 
 _CSV = {"sep": "\t", "quote": '"', "escape": '"'}
@@ -121,6 +123,14 @@ def _block_entries(lines: DataFrame) -> DataFrame:
     return named.select("path", "_block", "_open", F.last("_named", ignorenulls=True).over(earlier).alias("_head"))
 
 
+def _in_tasks(blocks: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Blocks far smaller than a task is worth share one; each keeps its own rows and ordinals together."""
+    spark = blocks.sparkSession
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-blocks.rdd.getNumPartitions() * size // task_bytes))
+    return blocks.coalesce(tasks)
+
+
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     """path, Filename, row_id, value: the records of text files whose quoted fields may hold line ends.
 
@@ -132,7 +142,7 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_ordinal"), "value")
-    lines = stage(raw.mapInArrow(_both_ways, _OPEN_LINES), "corpus-lines")
+    lines = stage(_in_tasks(raw).mapInArrow(_both_ways, _OPEN_LINES), "corpus-lines")
     blocks = stage(_block_entries(lines).join(_block_shifts(lines), ["path", "_block"]), "block-entries")
 
     def way(name: str):

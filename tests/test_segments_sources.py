@@ -191,3 +191,22 @@ def test_vocabulary_versions(spark, tmp_path):
     assert sorted(vocabulary.load_vocabulary(spark, path)[0].collect())[1]["id"] == 2
     with pytest.raises(FileNotFoundError):
         vocabulary.load_vocabulary(spark, path, "none")
+
+
+def test_small_blocks_share_tasks(spark, tmp_path):
+    """Many small blocks are read by fewer tasks, and rows and their order stay."""
+    path = tmp_path / "in"
+    path.mkdir()
+    (path / "a.tsv").write_text("".join(f'f{i}\t"x\n{i}"\ty\ten\tde\n' for i in range(400)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        blocks = spark.read.text(str(path))
+        assert blocks.rdd.getNumPartitions() > 50
+        assert corpus._in_tasks(blocks).rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        rows = corpus.read_corpus(spark, str(path)).orderBy("row_id").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [(r["File"], r["Tr1"]) for r in rows] == [(f"f{i}", f"x\n{i}") for i in range(400)]
