@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Callable, Sequence
+from itertools import count
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
@@ -11,6 +14,8 @@ from duolex.functions.text import ColumnOrName, as_col, let, word_tokens
 
 # Built-in edit distance fills a table of this many cells faster than text travels to Python.
 _SMALL_TABLE = 4096
+# Words of 64 symbols that step together, and entries of their table of matches.
+_LANES, _MATCHES = 4096, 1 << 22
 _EDITS = T.StructType([T.StructField("edits", T.LongType()), T.StructField("tokens", T.LongType())])
 
 
@@ -56,25 +61,162 @@ def _bits(positions: list[int], size: int) -> int:
     return int.from_bytes(flags, "little")
 
 
+def _scattered(short: Sequence, long: Sequence) -> bool:
+    """Whether `short` is `long` with some of its symbols left out."""
+    rest = iter(long)
+    return all(symbol in rest for symbol in short)
+
+
+def _step_together(long: list[np.ndarray], short: list[np.ndarray]) -> np.ndarray:
+    """Distances of pairs of code arrays, all words of all pairs advancing at once.
+
+    The table of a pair is cut into words of 64 rows; a word is one column behind the word above it and
+    takes over what that one carried out. Pairs come by the number of steps, so those done are a prefix.
+    """
+    n, m = np.array([len(x) for x in long]), np.array([len(x) for x in short])
+    words = -(-n // 64)
+    steps, lane0 = m + words - 1, np.cumsum(words) - words
+    lanes, pair = int(words.sum()), np.repeat(np.arange(len(n)), words)
+    flat, texts = np.concatenate(long), np.concatenate(short)
+    owner, asker = np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)
+    kinds = int(max(flat.max(), texts.max())) + 1
+    if kinds * lanes > _MATCHES:  # a pair's own symbols are numbered
+        found, flat = np.unique(owner * kinds + flat, return_inverse=True)
+        ask = asker * kinds + texts
+        at = np.minimum(np.searchsorted(found, ask), len(found) - 1)
+        start = np.searchsorted(found, np.arange(len(n) + 1) * kinds)
+        rows = np.diff(start)
+        flat, texts = flat - start[owner], np.where(found[at] == ask, at - start[asker], rows[asker])
+    else:
+        rows = np.full(len(n), kinds)
+    size = (rows + 1) * words  # the last row of a pair matches nothing
+    home = (np.cumsum(size) - size)[pair] + np.arange(lanes) - lane0[pair]
+    codes = np.repeat(rows[pair], 64)
+    codes[np.arange(len(flat)) + (lane0 * 64 - (np.cumsum(n) - n))[owner]] = flat
+    codes, matches = codes.reshape(lanes, 64), np.zeros(int(size.sum()), np.uint64)
+    for bit in range(64):
+        matches[home + codes[:, bit] * words[pair]] |= np.uint64(1 << bit)
+    matches[home + rows[pair] * words[pair]] = 0
+    # A text has a place before it for each word but the first, and is filled up to the last step.
+    width = words - 1 + int(steps[-1])
+    begin = np.cumsum(width) - width
+    line = np.repeat(rows * words, width)
+    line[np.arange(len(texts)) + (begin + words - 1 - (np.cumsum(m) - m))[asker]] = texts * words[asker]
+    read = (begin + words - 1)[pair] - (np.arange(lanes) - lane0[pair])
+    one, top = np.uint64(1), np.uint64(63)
+    inner = np.ones(lanes, np.uint64)
+    inner[lane0] = 0
+    up, down = np.full(lanes, ~np.uint64(0)), np.zeros(lanes, np.uint64)
+    in_up, in_down = one - inner, np.zeros(lanes, np.uint64)
+    last, bit = lane0 + words - 1, ((n - 1) % 64).astype(np.uint64)
+    score, t = n.copy(), 0
+    while t < steps[-1]:
+        gone = int(np.searchsorted(steps, t, side="right"))
+        cut = int(lane0[gone])
+        up, down, in_up, in_down = up[cut:], down[cut:], in_up[cut:], in_down[cut:]
+        home, read, inner, lane0 = home[cut:], read[cut:], inner[cut:], lane0 - cut
+        last, bit, steps, lane0 = last[gone:] - cut, bit[gone:], steps[gone:], lane0[gone:]
+        total, outer = score[len(score) - len(last):], one - inner
+        for t in range(t, int(steps[0])):
+            match = matches.take(line.take(read + t) + home)
+            diagonal = match | down
+            match |= in_down
+            across = (((match & up) + up) ^ up) | match
+            right_up = down | ~(across | up)
+            right_down = up & across
+            total += ((right_up[last] >> bit) & one).astype(np.int64)
+            total -= ((right_down[last] >> bit) & one).astype(np.int64)
+            out_up, out_down = right_up >> top, right_down >> top
+            right_up = (right_up << one) | in_up
+            up = ((right_down << one) | in_down) | ~(diagonal | right_up)
+            down = right_up & diagonal
+            in_up[1:] = out_up[:-1]
+            in_down[1:] = out_down[:-1]
+            in_up *= inner
+            in_up += outer
+            in_down *= inner
+        t += 1
+    return score
+
+
+def edit_distances(first: Sequence[Sequence], second: Sequence[Sequence], code: Callable) -> np.ndarray:
+    """`edit_distance` of many pairs; `code` turns both sides into arrays of small whole numbers.
+
+    A side that is the other one with symbols left out differs by those. Pairs of like size step together in
+    words of numpy arrays, at a fraction of the time that each takes by itself. Where too few come together,
+    each goes alone.
+    """
+    found = np.zeros(len(first), np.int64)
+    rows, longer, shorter = [], [], []
+    for i, (a, b) in enumerate(zip(first, second)):
+        if len(a) < len(b):
+            a, b = b, a
+        if _scattered(b, a):
+            found[i] = len(a) - len(b)
+        else:
+            rows.append(i)
+            longer.append(a)
+            shorter.append(b)
+    sized = []
+    for i, a, b in zip(rows, *code(longer, shorter)):
+        words = -(-len(a) // 64)
+        sized.append((len(b) + words - 1, words, len(b), i, a, b))
+    sized.sort(key=lambda x: x[:4])
+    start = 0
+    while start < len(sized):
+        stop, lanes, alone = start, 0, 0.0
+        while stop < len(sized) and (stop == start or lanes + sized[stop][1] <= _LANES):
+            lanes, alone = lanes + sized[stop][1], alone + sized[stop][2] * (0.9 + 0.025 * sized[stop][1])
+            stop += 1
+        part = sized[start:stop]
+        # Microseconds of either way, as measured.
+        if part[-1][0] * (30 + 0.012 * lanes) < alone:
+            found[[x[3] for x in part]] = _step_together([x[4] for x in part], [x[5] for x in part])
+        else:
+            for x in part:
+                found[x[3]] = edit_distance(first[x[3]], second[x[3]])
+        start = stop
+    return found
+
+
+def _codes(units: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+    return np.split(units, np.cumsum(lengths)[:-1]) if lengths else []
+
+
+def _char_codes(first: list[str], second: list[str]) -> tuple[list, list]:
+    """Code points numbered by what occurs."""
+    texts = [np.frombuffer("".join(side).encode("utf-32-le", "surrogatepass"), "<u4") for side in (first, second)]
+    seen = np.zeros(0x110000, bool)
+    for side in texts:
+        seen[side] = True
+    number = np.cumsum(seen, dtype=np.int32) - 1
+    return tuple(_codes(number[units], [len(t) for t in side]) for units, side in zip(texts, (first, second)))
+
+
+def _token_codes(first: list[list[str]], second: list[list[str]]) -> tuple[list, list]:
+    """Tokens numbered as they come."""
+    number = defaultdict(count().__next__)
+    return tuple(_codes(np.array([number[t] for tokens in side for t in tokens], np.int64), [len(t) for t in side])
+                 for side in (first, second))
+
+
 @F.pandas_udf(T.LongType())
 def _char_distance(first: pd.Series, second: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if a is None or b is None else edit_distance(a, b) for a, b in zip(first, second)], dtype="Int64"
-    )
+    there = (first.notna() & second.notna()).to_numpy()
+    a, b = first[there].tolist(), second[there].tolist()
+    found = pd.Series(pd.NA, index=first.index, dtype="Int64")
+    found[there] = edit_distances(a, b, _char_codes)
+    return found
 
 
 @F.pandas_udf(_EDITS)
 def _token_distance(source: pd.Series, translation: pd.Series) -> pd.DataFrame:
-    edits, tokens = [], []
-    for a, b in zip(source, translation):
-        if a is None or b is None:
-            edits.append(None)
-            tokens.append(None)
-        else:
-            words = a.split()
-            edits.append(edit_distance(words, b.split()))
-            tokens.append(len(words))
-    return pd.DataFrame({"edits": pd.array(edits, "Int64"), "tokens": pd.array(tokens, "Int64")})
+    there = (source.notna() & translation.notna()).to_numpy()
+    a, b = [t.split() for t in source[there]], [t.split() for t in translation[there]]
+    found = pd.DataFrame({c: pd.Series(pd.NA, index=source.index, dtype="Int64") for c in ("edits", "tokens")})
+    found.loc[there, "edits"] = edit_distances(a, b, _token_codes)
+    found.loc[there, "tokens"] = [len(t) for t in a]
+    return found
 
 
 def wer(source: ColumnOrName, translation: ColumnOrName) -> Column:
