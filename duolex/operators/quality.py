@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
@@ -45,9 +46,12 @@ def gram_matrix(df: DataFrame, label: str = "score", features: list[str] = FEATU
     so the sums stay well conditioned. Rows with a missing value do not count.
     """
     base = df.select(*[(F.col(f) / scale).alias(f) for f in features], F.col(label).alias("label"))
-    terms = base.select(*poly2(features), "label").dropna()
+    terms = base.select(*poly2(features), "label")
     names = terms.columns
     cells = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    # Not a filter, which would be pushed down to the measures and take each of them twice.
+    whole = reduce(lambda x, y: x & y, [F.col(n).isNotNull() & ~F.isnan(n) for n in names])
+    terms = terms.select(F.when(whole, F.struct(*names)).alias("t")).select("t.*")
     wide = terms.agg(*[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in cells])
     entries = F.array(*[
         F.struct(F.lit(a).alias("i"), F.lit(b).alias("j"), F.col(f"`{a}|{b}`").alias("value")) for a, b in cells

@@ -79,3 +79,33 @@ def test_constant_feature(spark):
     frame = spark.createDataFrame(rows, "wer double, cer double, f_score double, score double")
     errors = quality.fit_from_moments(frame).predict(frame).select(F.max(F.abs(F.col("prediction") - F.col("score"))))
     assert errors.first()[0] < 1e-6
+
+
+def test_distances_of_many_pairs_at_once():
+    rnd = random.Random(3)
+    pairs = []
+    for symbols in ("ab", "abcdefghij ä\U0001f600", [f"w{i}" for i in range(500)]):
+        for top in (3, 64, 65, 200, 900):
+            for _ in range(60):
+                a = [rnd.choice(symbols) for _ in range(rnd.randint(0, top))]
+                b = [rnd.choice(symbols) for _ in range(rnd.randint(0, top))]
+                b = rnd.choice([b, [s for s in a if rnd.random() < 0.8], [s if rnd.random() < 0.9 else "z" for s in a], a])
+                pairs.append((a, b))
+    first, second = zip(*pairs)
+    alone = [metrics.edit_distance(a, b) for a, b in pairs]
+    assert metrics.edit_distances(first, second, metrics._token_codes).tolist() == alone
+    texts = [["".join(x) for x in side] for side in (first, second)]
+    alone = [metrics.edit_distance(a, b) for a, b in zip(*texts)]
+    assert metrics.edit_distances(*texts, metrics._char_codes).tolist() == alone
+    assert metrics.edit_distances([], [], metrics._char_codes).tolist() == []
+
+
+def test_moments_take_each_measure_once(spark):
+    rows = [("a b c", "a b d", 1.0), ("x y", "x", 3.0), ("", "a", 2.0), (None, "a", 2.0), ("k l", "l k m", None), ("p q", "p q", float("nan"))]
+    df = quality.quality_features(spark.createDataFrame(rows, "source string, translation string, score double"))
+    table = quality.gram_matrix(df)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_token_distance(") == 1 and plan.count("array_intersect") == 1
+    whole = quality.gram_matrix(df.filter("source in ('a b c', 'x y')").select(*quality.FEATURES, "score").localCheckpoint())
+    found, wanted = ({(r["i"], r["j"]): r["value"] for r in t.collect()} for t in (table, whole))
+    assert found == pytest.approx(wanted)
