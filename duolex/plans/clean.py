@@ -12,7 +12,7 @@ from duolex.functions.text import clean_pair
 from duolex.operators.dedupe import repeated_keys, tag_later_copies, text_key
 from duolex.operators.langid import predict_languages
 from duolex.operators.routing import aligned_sentences, equal_pair, language_verdict, length_ratio
-from duolex.session import small_side, stage
+from duolex.session import STAGED_CODEC, small_side, stage
 from duolex.sources.corpus import CORPUS_COLUMNS, read_corpus
 from duolex.sources.sinks import write_final_tsv, write_routed, write_tsv
 
@@ -225,15 +225,15 @@ def clean_folder(spark: SparkSession, source: str, target: str, profiles: DataFr
     Writes `audit`, the route folders, the snapshots after steps 2 and 4, the
     kept pairs as header-less TSV and the step table, and returns the latter.
     """
-    prepared = stage(prepare(read_corpus(spark, source, multiline)), "corpus")
+    prepared = stage(prepare(read_corpus(spark, source, multiline, staged=False)), "corpus")
     repeated = find_repeated(prepared)
     audit = audit_of(prepared, repeated, profiles)
-    audit.write.parquet(f"{target}/audit")
+    audit.write.option("compression", STAGED_CODEC).parquet(f"{target}/audit")
     audit = spark.read.schema(audit.schema).parquet(f"{target}/audit")
     write_routed(audit, f"{target}/routes", fmt)
     through_step2(prepared, repeated).filter("drop_stage is null").select(
-        "path", "Filename", "row_id", *CORPUS_COLUMNS).write.parquet(f"{target}/steps/step_2")
-    after_step4(audit).write.parquet(f"{target}/steps/step_4")
+        "path", "Filename", "row_id", *CORPUS_COLUMNS).write.option("compression", STAGED_CODEC).parquet(f"{target}/steps/step_2")
+    after_step4(audit).write.option("compression", STAGED_CODEC).parquet(f"{target}/steps/step_4")
     write_final_tsv(audit, f"{target}/final")
     counts = step_table(audit)
     write_tsv(counts.orderBy("Filename"), f"{target}/table_segments")

@@ -162,19 +162,21 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_replace("value", "\r$", "").alias("value")).filter("value <> ''")
 
 
-def read_corpus(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, multiline: bool = True, staged: bool = True) -> DataFrame:
     """Every header-less TSV file in a folder, or several, as one frame.
 
     Adds `path`, `Filename` (the bare name, which files of two folders may share) and `row_id`, unique
     over all files and in their order. An empty field is a missing value. With `multiline` a quoted field
     may hold newlines; files are read in blocks either way. The rows are staged, as how files are packed
-    into tasks may change from scan to scan.
+    into tasks may change from scan to scan; without `staged` only what their numbers come from is, for a
+    caller that stages them itself.
     """
     fields = [F.nullif(F.col(c), F.lit("")).alias(c) for c in CORPUS_COLUMNS]
     if multiline:
         parsed = quoted_records(spark, path).withColumn("_r", F.from_csv("value", CORPUS_SCHEMA.simpleString()[7:-1].replace(":", " "), _CSV))
         rows = parsed.select("path", "Filename", "row_id", "_r.*")
-        return stage(rows.select("path", "Filename", "row_id", *fields), "corpus-rows")
+        found = rows.select("path", "Filename", "row_id", *fields)
+        return stage(found, "corpus-rows") if staged else found
     raw = spark.read.schema(CORPUS_SCHEMA).options(**_CSV).csv(path)
     rows = raw.select(
         F.col("_metadata.file_path").alias("path"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from duolex.session import STAGED_CODEC
 from duolex.sources.corpus import CORPUS_COLUMNS
 
 ROUTE_KEYS = ["route", "Filename", "Lang1", "Lang2"]
@@ -59,6 +60,8 @@ def write_routed(audit: DataFrame, path: str, fmt: str = "parquet", mode: str =
     if rebalance:
         rows = rows.hint("rebalance", *ROUTE_KEYS)
     writer = _tsv(rows, True) if fmt == "csv" else rows.write
+    if fmt == "parquet":
+        writer = writer.option("compression", STAGED_CODEC)
     writer.mode(mode).partitionBy(*ROUTE_KEYS).format(fmt).save(path)
 
 
@@ -74,5 +77,5 @@ def write_training_shards(df: DataFrame, path: str, shard: str = "shard", length
     """Parquet files of whole shards, each in order of length."""
     (
         df.repartition(F.col(shard)).sortWithinPartitions(shard, length, order)
-        .write.mode(mode).option("maxRecordsPerFile", max_rows_per_file).parquet(path)
+        .write.mode(mode).option("maxRecordsPerFile", max_rows_per_file).option("compression", STAGED_CODEC).parquet(path)
     )
