@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from duolex.functions.text import english_formalize
 from duolex.operators import decontaminate, segments
-from duolex.sources import commits, corpus, sinks, vocabulary
+from duolex.plans import catalog
+from duolex.sources import commits, corpus, derived, sinks, vocabulary
 
 NB = chr(0xA0)
 
@@ -210,3 +211,26 @@ def test_small_blocks_share_tasks(spark, tmp_path):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert [(r["File"], r["Tr1"]) for r in rows] == [(f"f{i}", f"x\n{i}") for i in range(400)]
+
+
+def test_folders_are_read_with_one_move_of_texts(spark, tmp_path, monkeypatch):
+    docs = [(i, "\n".join(f"line {i % 3} {j}" for j in range(4)), "en" if i % 2 else "de", f"s{i % 5}") for i in range(30)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = []
+    pairs = derived.pairs
+    monkeypatch.setattr(derived, "pairs", lambda *a: made.append(1) or pairs(*a))
+    found = catalog.all_queries()["job_read_folders"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(made) == 1 and plan.count("Exchange hashpartitioning") == 1
+    wanted = pairs(spark, str(tmp_path)).groupBy("Tr1", "Tr2", "Lang1", "Lang2").count()
+    assert sorted((r["n"], r["ids"]) for r in found.collect()) == sorted((r["count"],) * 2 for r in wanted.collect())
+
+
+def test_rows_that_the_caller_stages_are_not_staged_before(spark, tmp_path, monkeypatch):
+    rows = [(f"f{i}", f"a\n{i}" if i % 3 else f"b {i}", f"c {i}", "en", "de") for i in range(50)]
+    sinks.write_tsv(spark.createDataFrame(rows, corpus.CORPUS_COLUMNS), f"{tmp_path}/c", header=False)
+    names, stage = [], corpus.stage
+    monkeypatch.setattr(corpus, "stage", lambda df, name: names.append(name) or stage(df, name))
+    plain = corpus.read_corpus(spark, f"{tmp_path}/c", staged=False)
+    assert "corpus-rows" not in names
+    assert sorted(plain.collect()) == sorted(corpus.read_corpus(spark, f"{tmp_path}/c").collect()) and plain.count() == 50
