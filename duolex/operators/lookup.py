@@ -18,17 +18,38 @@ def _entries(table: DataFrame) -> DataFrame:
     return known.groupBy("token").agg(F.min("replacement").alias("replacement"))
 
 
-def _finder(entries: DataFrame):
-    held = entries.sparkSession.sparkContext.broadcast(
+def _sent_out(entries: DataFrame):
+    return entries.sparkSession.sparkContext.broadcast(
         {r["token"]: r["replacement"] for r in entries.select("token", "replacement").collect()})
 
+
+def _fits(staged: DataFrame, max_entries: int, max_bytes: int) -> bool:
+    return staged.count() <= max_entries and broadcast_bytes(staged) <= max_bytes
+
+
+def small_entries(table: DataFrame, max_entries: int = MAX_ENTRIES, max_bytes: int = MAX_BYTES):
+    """The replacements of a table as a dictionary in the tasks, or None, and the staged entries, if they do not fit."""
+    entries = stage(_entries(table), "entries")
+    if not _fits(entries, max_entries, max_bytes):
+        return None, entries
+    held = _sent_out(entries)
+    delete_staged(entries)
+    return held, None
+
+
+def replaced(tokens: pa.Array, held: dict[str, str]) -> pa.Array:
+    """The replacement of each token, null where it has none. Every distinct one is looked up once."""
+    coded = tokens.dictionary_encode()
+    return pa.array([held.get(t) for t in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+
+
+def _finder(entries: DataFrame):
+    held = _sent_out(entries)
+
     @F.arrow_udf("array<array<string>>")
     def find(asked: pa.Array) -> pa.Array:
         inner = asked.values
-        # Every distinct token of a batch is looked up once.
-        coded = inner.values.dictionary_encode()
-        found = pa.array([held.value.get(t) for t in coded.dictionary.to_pylist()], pa.string())
-        inner = pa.ListArray.from_arrays(inner.offsets, found.take(coded.indices))
+        inner = pa.ListArray.from_arrays(inner.offsets, replaced(inner.values, held.value))
         return pa.ListArray.from_arrays(asked.offsets, inner)
 
     # Keeps the optimizer from copying the call into filters and lambdas, where it would run again or not at all.
@@ -45,17 +66,14 @@ def find_replacements(df: DataFrame, keys: list[str], asked: str, table: DataFra
     each row are joined with it and hits alone come back to the rows; `keys` must then name a row. Both large
     cases stage `df`, so whatever made its rows runs once.
     """
-    def fits(staged: DataFrame) -> bool:
-        return staged.count() <= max_entries and broadcast_bytes(staged) <= max_bytes
-
     entries = stage(_entries(table), "entries")
-    small = fits(entries)
+    small = _fits(entries, max_entries, max_bytes)
     if not small:
         df = stage(df, "asking")
         wanted = df.select(F.explode(F.flatten(asked)).alias("token")).distinct()
         needed = stage(entries.join(wanted, "token", "left_semi"), "entries")
         delete_staged(entries)
-        entries, small = needed, fits(needed)
+        entries, small = needed, _fits(needed, max_entries, max_bytes)
     if small:
         found = df.withColumn(out, _finder(entries)(F.col(asked)))
         delete_staged(entries)

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import random
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from duolex.operators.batches import INFERENCE_BATCH, fixed_batches, position
-from duolex.operators.lookup import find_replacements
+from duolex.operators.lookup import find_replacements, replaced, small_entries
 from duolex.session import delete_staged, stage
 from duolex.sources.commits import commit, committed
 
@@ -27,78 +28,122 @@ SEED = 829
 UNKNOWN = "<unk>"
 
 CANDIDATES = "array<struct<tokens:array<string>,attn:array<array<double>>,score:double>>"
-_ARROW_CANDIDATES = pa.list_(pa.struct({
-    "tokens": pa.list_(pa.string()), "attn": pa.list_(pa.list_(pa.float64())), "score": pa.float64()}))
+_SOUGHT = "array<struct<tokens:array<string>,asked:array<string>,attn:array<array<double>>,score:double>>"
+_TRANSLATION = "array<struct<src:string,sent:string,attn:array<array<double>>,score:double>>"
+
+# Results leave a task once they hold so many weights of attention or sources.
+RESULT_CELLS, RESULT_ROWS = 1 << 20, 10_000
 
 # A predictor maps a list of sources to, per source, a list of (tokens, attention, score).
 Predictor = Callable[[list[str]], list[list[tuple[list[str], list[list[float]], float]]]]
 
 
-def _seeded(predict: Predictor, sources: list[str], seed: int):
+def _seeded(predict: Predictor, sources: list[str], seed: int) -> list[list[tuple]]:
     random.seed(seed)
     np.random.seed(seed)
-    return [
-        [{"tokens": list(tokens), "attn": attn.tolist() if hasattr(attn, "tolist") else attn, "score": float(score)}
-         for tokens, attn, score in candidates]
-        for candidates in predict(sources)
-    ]
+    found = [list(candidates) for candidates in predict(sources)]
+    if len(found) != len(sources):
+        raise ValueError(f"{len(found)} results for {len(sources)} sources")
+    return found
 
 
-def predict_candidates(df: DataFrame, src: str, order: str, load: Callable[[], Predictor],
-                       batch_size: int = INFERENCE_BATCH, seed: int = SEED, exact_batches: bool = False) -> DataFrame:
-    """order, src, candidates: the predictor's raw output per row.
+def _offsets(sizes: list[int]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
 
-    `load` runs once per task, in either mode. Rows reach the predictor in batches of
-    `batch_size` with the seed set anew for each. By default a batch is made of
-    rows that lie together; with `exact_batches` it is the run of rows in global
-    order, at the price of a shuffle, for predictors whose result depends on
-    their batch mates.
-    """
-    schema = f"`{order}` bigint, src string, candidates {CANDIDATES}"
-    rows = df.select(F.col(order).cast("bigint").alias(order), F.col(src).alias("src"))
 
-    def frame(part: pd.DataFrame, predict: Predictor) -> pd.DataFrame:
-        found = _seeded(predict, part["src"].fillna("").tolist(), seed)
-        return pd.DataFrame({order: part[order].to_numpy(), "src": part["src"].to_numpy(), "candidates": found})
+def _cells(attn) -> int:
+    return math.prod(attn.shape) if hasattr(attn, "tolist") else sum(len(row) for row in attn or () if row is not None)
 
-    if exact_batches:
-        def runs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            predict = load()
-            held = None
-            for part in parts:
-                held = part if held is None else pd.concat([held, part], ignore_index=True)
-                # The last batch may go on in the next part.
-                whole = held["batch_id"] != held["batch_id"].iloc[-1] if len(held) else []
-                for _, batch in held[whole].groupby("batch_id", sort=False) if len(held) else ():
-                    yield frame(batch, predict)
-                held = held[~whole] if len(held) else None
-            if held is not None and len(held):
-                yield frame(held, predict)
-
-        batched = fixed_batches(stage(rows, "to-predict"), order, batch_size)
-        return batched.repartition("batch_id").sortWithinPartitions("batch_id", order).mapInPandas(runs, schema)
-
-    def batch(part: pa.Table, predict: Predictor) -> pa.RecordBatch:
-        ids, sources = part.column(0).combine_chunks(), part.column(1).combine_chunks()
-        found = _seeded(predict, [s or "" for s in sources.to_pylist()], seed)
-        return pa.RecordBatch.from_arrays([ids, sources, pa.array(found, _ARROW_CANDIDATES)], [order, "src", "candidates"])
 
-    def stream(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = load()
+def _attention(matrices: list) -> pa.Array:
+    """Attention of candidates; arrays of two dimensions are put one after another, number by number."""
+    if matrices and all(isinstance(m, np.ndarray) and m.ndim == 2 for m in matrices):
+        rows = [len(m) for m in matrices]
+        values = np.concatenate([m.ravel() for m in matrices]).astype(np.float64, copy=False)
+        inner = pa.ListArray.from_arrays(_offsets(np.repeat([m.shape[1] for m in matrices], rows)), pa.array(values))
+        return pa.ListArray.from_arrays(_offsets(rows), inner)
+    return pa.array([m.tolist() if hasattr(m, "tolist") else m for m in matrices], pa.list_(pa.list_(pa.float64())))
+
+
+def _fields(candidates: list[tuple]) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Tokens, attention and scores."""
+    words = pa.array([t for tokens, _, _ in candidates for t in tokens], pa.string())
+    tokens = pa.ListArray.from_arrays(_offsets([len(tokens) for tokens, _, _ in candidates]), words)
+    return tokens, _attention([attn for _, attn, _ in candidates]), pa.array([float(s) for *_, s in candidates], pa.float64())
+
+
+def _per_source(found: list[list[tuple]], **fields: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(
+        _offsets([len(candidates) for candidates in found]), pa.StructArray.from_arrays(list(fields.values()), list(fields)))
+
+
+def _predicted(df: DataFrame, src: str, order: str, load: Callable[[], Predictor], out: str, kind: str,
+               column: Callable[[pa.Array, list[list[tuple]]], pa.Array], batch_size: int, seed: int,
+               exact_batches: bool) -> DataFrame:
+    """order, src and `out`, which `column` makes of sources and their candidates in the task that found them."""
+    names = [order, "src", out]
+    schema = f"`{order}` bigint, src string, {out} {kind}"
+    rows = df.select(F.col(order).cast("bigint").alias(order), F.col(src).alias("src"))
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Batches for the predictor; the last one may go on in the next part."""
         held = None
         for part in parts:
             part = pa.Table.from_batches([part])
             held = part if held is None else pa.concat_tables([held, part])
-            cut = len(held) - len(held) % batch_size
-            for start in range(0, cut, batch_size):
-                yield batch(held.slice(start, batch_size), predict)
-            held = held.slice(cut)
+            if exact_batches:
+                ids = held.column(2).to_numpy()
+                starts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist()]
+            else:
+                starts = list(range(0, len(held) + 1, batch_size))
+            for start, end in zip(starts, starts[1:]):
+                yield held.slice(start, end - start)
+            held = held.slice(starts[-1])
         if held is not None and len(held):
-            yield batch(held, predict)
+            yield held
+
+    def stream(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict, batches, found, cells = load(), [], [], 0
+
+        def result() -> pa.RecordBatch:
+            whole = pa.concat_tables(batches)
+            ids, sources = whole.column(0).combine_chunks(), whole.column(1).combine_chunks()
+            return pa.RecordBatch.from_arrays([ids, sources, column(sources, found)], names)
+
+        for batch in cut(parts):
+            some = _seeded(predict, [s or "" for s in batch.column(1).to_pylist()], seed)
+            batches.append(batch)
+            found += some
+            cells += sum(_cells(attn) for candidates in some for _, attn, _ in candidates)
+            if cells >= RESULT_CELLS or len(found) >= RESULT_ROWS:
+                yield result()
+                batches, found, cells = [], [], 0
+        if found:
+            yield result()
 
+    if exact_batches:
+        batched = fixed_batches(stage(rows, "to-predict"), order, batch_size).select(order, "src", "batch_id")
+        return batched.repartition("batch_id").sortWithinPartitions("batch_id", order).mapInArrow(stream, schema)
     return rows.mapInArrow(stream, schema)
 
 
+def predict_candidates(df: DataFrame, src: str, order: str, load: Callable[[], Predictor],
+                       batch_size: int = INFERENCE_BATCH, seed: int = SEED, exact_batches: bool = False) -> DataFrame:
+    """order, src, candidates: the predictor's raw output per row.
+
+    `load` runs once per task, in either mode. Rows reach the predictor in batches of
+    `batch_size` with the seed set anew for each. By default a batch is made of
+    rows that lie together; with `exact_batches` it is the run of rows in global
+    order, at the price of a shuffle, for predictors whose result depends on
+    their batch mates.
+    """
+    def column(_: pa.Array, found: list[list[tuple]]) -> pa.Array:
+        tokens, attn, scores = _fields([c for candidates in found for c in candidates])
+        return _per_source(found, tokens=tokens, attn=attn, score=scores)
+
+    return _predicted(df, src, order, load, "candidates", CANDIDATES, column, batch_size, seed, exact_batches)
+
+
 def output_length_ok(tokens: Column, min_length: int = MIN_LENGTH, max_length: int = MAX_LENGTH) -> Column:
     """Whether a candidate's length is within bounds, for callers who want to drop those that are not."""
     return F.size(tokens).between(min_length, max_length)
@@ -161,6 +206,51 @@ def collect_nbest(ranked: DataFrame, source_id: str, fields: list[str]) -> DataF
     ).select(source_id, F.transform("_all", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("translation"))
 
 
+def _loss(candidate: tuple) -> tuple[bool, float]:
+    score = float(candidate[2])
+    return score != score, -score
+
+
+def _unknown(words: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.equal(words, UNKNOWN), False).to_numpy(zero_copy_only=False)
+
+
+def _attended(tokens: pa.Array, attn: pa.Array, places: np.ndarray, sources: pa.Array, owner: np.ndarray) -> pa.Array:
+    """The source token that each of some output tokens attends to most, null where there is none.
+
+    `places` are places in all tokens, one after another; `owner` names the source of each candidate.
+    """
+    begins, lines = tokens.offsets.to_numpy(), attn.offsets.to_numpy()
+    candidate = np.searchsorted(begins, places, side="right") - 1
+    line = lines[candidate] + places - begins[candidate]
+    there = np.flatnonzero(line < lines[candidate + 1])
+    weights = attn.values
+    edges = weights.offsets.to_numpy()
+    start, width = edges[line[there]], np.diff(edges)[line[there]]
+    most = np.full(len(places), -1, np.int64)
+    if weights.values.null_count:
+        for at, row in zip(there, line[there].tolist()):
+            known = [(w != w, 0.0 if w != w else w, -i) for i, w in enumerate(weights[row].as_py() or ()) if w is not None]
+            most[at] = -max(known)[2] if known else -1
+    else:
+        values = weights.values.to_numpy()
+        for size in np.unique(width[width > 0]).tolist():
+            same = np.flatnonzero(width == size)
+            most[there[same]] = values[start[same][:, None] + np.arange(size)].argmax(axis=1)
+    firsts = sources.offsets.to_numpy()
+    source = owner[candidate]
+    found = (most >= 0) & (firsts[source] + most < firsts[source + 1])
+    return sources.values.take(pa.array(firsts[source] + most, mask=~found))
+
+
+def _joined(offsets: pa.Array, words: pa.Array) -> pa.Array:
+    """Tokens with blanks between them; missing ones are left out."""
+    if words.null_count:
+        before = np.concatenate([[0], np.cumsum(words.is_valid().to_numpy(zero_copy_only=False))])
+        offsets, words = pa.array(before[offsets.to_numpy()].astype(np.int32)), words.drop_null()
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, words), " ")
+
+
 def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", order: str = "row_id",
               n_best: int = N_BEST, batch_size: int = INFERENCE_BATCH, seed: int = SEED,
               replace_unk: bool = True, phrase_table: DataFrame | None = None,
@@ -172,32 +262,42 @@ def translate(df: DataFrame, load: Callable[[], Predictor], src: str = "src", or
     missing source reaches it as an empty one and stays missing in the result.
     Limits on length are the predictor's: bind them in `load`.
 
-    Candidates of a row stay in its row, so ranking them moves nothing, nor does a phrase table of up to
-    the sizes in `limits` (see `find_replacements`).
+    Candidates are ranked and filled in by the task that found them. So are they through a phrase table of up to the
+    sizes in `limits`; see `find_replacements` for a larger one.
     """
-    found = predict_candidates(df, src, order, load, batch_size, seed, exact_batches)
-    ranked = F.array_sort(
-        F.transform("candidates", lambda c, i: F.struct((-c["score"]).alias("loss"), i.alias("place"), c.alias("c"))),
-        lambda a, b: F.when(a["loss"] < b["loss"], -1).when(a["loss"] > b["loss"], 1)
-        .when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0),
-    )
-    best = found.withColumn("candidates", F.transform(F.slice(ranked, 1, n_best), lambda r: r["c"]))
-    source_tokens = F.split(F.coalesce("src", F.lit("")), " ", -1)
-
-    def result(c: Column, tokens: Column) -> Column:
-        return F.struct(F.col("src").alias("src"), F.array_join(tokens, " ").alias("sent"),
-                        c["attn"].alias("attn"), c["score"].alias("score"))
-
-    if replace_unk and phrase_table is not None:
-        asked = best.withColumn("_asked", F.transform(
-            "candidates", lambda c: _sought(c["tokens"], c["attn"], source_tokens)))
-        found = find_replacements(asked, [order], "_asked", phrase_table, "_found", **limits)
-        each = F.arrays_zip("candidates", "_found", "_asked")
-        return found.select(order, "src", F.transform(each, lambda z: result(
-            z["candidates"], _filled(z["candidates"]["tokens"], z["_found"], z["_asked"]))).alias("translation"))
-    return best.select(order, "src", F.transform("candidates", lambda c: result(
-        c, replace_unknown(c["tokens"], c["attn"], source_tokens) if replace_unk else c["tokens"],
-    )).alias("translation"))
+    held, entries = small_entries(phrase_table, **limits) if replace_unk and phrase_table is not None else (None, None)
+
+    def best(sources: pa.Array, found: list[list[tuple]]):
+        """The best candidates per source, the source of each, its fields, and where and what unknown tokens ask for."""
+        found = [sorted(candidates, key=_loss)[:n_best] for candidates in found]
+        owner = np.repeat(np.arange(len(found)), [len(candidates) for candidates in found])
+        tokens, attn, scores = _fields([c for candidates in found for c in candidates])
+        unknown = _unknown(tokens.values) if replace_unk else np.zeros(len(tokens.values), bool)
+        asked = _attended(tokens, attn, np.flatnonzero(unknown), pc.split_pattern(pc.fill_null(sources, ""), " "), owner)
+        return found, owner, tokens, attn, scores, unknown, asked
+
+    def finished(sources: pa.Array, found: list[list[tuple]]) -> pa.Array:
+        found, owner, tokens, attn, scores, unknown, asked = best(sources, found)
+        if held is not None:
+            asked = pc.coalesce(replaced(asked, held.value), asked)
+        words = pc.replace_with_mask(tokens.values, pa.array(unknown), pc.fill_null(asked, UNKNOWN))
+        return _per_source(found, src=sources.take(pa.array(owner)), sent=_joined(tokens.offsets, words), attn=attn, score=scores)
+
+    def open_ones(sources: pa.Array, found: list[list[tuple]]) -> pa.Array:
+        found, _, tokens, attn, scores, unknown, asked = best(sources, found)
+        asked = pc.replace_with_mask(pa.nulls(len(unknown), pa.string()), pa.array(unknown), asked)
+        return _per_source(found, tokens=tokens, asked=pa.ListArray.from_arrays(tokens.offsets, asked), attn=attn, score=scores)
+
+    if entries is None:
+        return _predicted(df, src, order, load, "translation", _TRANSLATION, finished, batch_size, seed, exact_batches)
+    asked = _predicted(df, src, order, load, "candidates", _SOUGHT, open_ones, batch_size, seed, exact_batches).withColumn(
+        "_asked", F.transform("candidates", lambda c: c["asked"]))
+    found = find_replacements(asked, [order], "_asked", entries, "_found", **limits)
+    delete_staged(entries)
+    return found.select(order, "src", F.transform(F.arrays_zip("candidates", "_found"), lambda z: F.struct(
+        F.col("src").alias("src"),
+        F.array_join(_filled(z["candidates"]["tokens"], z["_found"], z["candidates"]["asked"]), " ").alias("sent"),
+        z["candidates"]["attn"].alias("attn"), z["candidates"]["score"].alias("score"))).alias("translation"))
 
 
 def _asked(df: DataFrame, src: str, order: str) -> str:

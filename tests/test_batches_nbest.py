@@ -1,9 +1,10 @@
 import random
 import sys
 
+import numpy as np
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from duolex.operators import batches, lexicon, nbest
 from duolex.plans import training
@@ -71,6 +72,60 @@ def test_translate_with_phrase_table(spark):
     assert [c["sent"] for c in out[2]] == ["", "a <unk> "]
 
 
+def test_attention_arrays_stay_arrays(spark):
+    """Weights of a predictor's arrays are never made into Python numbers one by one."""
+    def load_arrays():
+        class Weights(np.ndarray):
+            def tolist(self):
+                raise AssertionError("number by number")
+
+        def predict(sources):
+            return [[(["<unk>", "b"], np.array([[0.0, 1.0], [1.0, 0.0]]).view(Weights), 1.0)] for _ in sources]
+        return predict
+
+    df = spark.createDataFrame([(0, "left right"), (1, "solo")], "row_id long, src string")
+    for options in ({}, {"phrase_table": spark.createDataFrame([("right", "rechts")], "token string, replacement string")}):
+        out = {r["row_id"]: r["translation"][0] for r in nbest.translate(df, load_arrays, **options).collect()}
+        assert [out[i]["sent"] for i in (0, 1)] == ["rechts b" if options else "right b", "<unk> b"]
+        assert out[0]["attn"] == [[0.0, 1.0], [1.0, 0.0]]
+
+
+def test_odd_candidates_as_column_functions_give_them(spark):
+    """Ragged, empty and missing attention, missing weights and tokens, NaN scores and weights."""
+    nan = float("nan")
+
+    def load_odd():
+        def predict(sources):
+            rng, out = random.Random(len(sources)), []
+            for s in sources:
+                candidates = []
+                for _ in range(rng.randint(0, 4)):
+                    tokens = [rng.choice(["<unk>", "<unk>", "a", "", None]) for _ in range(rng.randint(0, 4))]
+                    attn = None if rng.random() < 0.1 else [
+                        None if rng.random() < 0.1 else [rng.choice([0.0, -0.0, 0.5, nan, None, float("-inf")]) for _ in range(rng.randint(0, 4))]
+                        for _ in range(rng.randint(0, 5))]
+                    candidates.append((tokens, attn, rng.choice([0.0, -0.0, 1.0, nan, -2.0])))
+                out.append(candidates)
+            return out
+        return predict
+
+    rows = [(i, None if i % 9 == 0 else " ".join("xyz"[j] for j in range(i % 4))) for i in range(120)]
+    df = spark.createDataFrame(rows, "row_id long, src string").coalesce(1)
+    raw = nbest.predict_candidates(df, "src", "row_id", load_odd)
+    source = F.split(F.coalesce("src", F.lit("")), " ", -1)
+    sents = raw.select("row_id", F.posexplode("candidates").alias("place", "c"), source.alias("s")).select(
+        "row_id", "place", F.col("c.score").alias("score"), F.array_join(nbest.replace_unknown(
+            F.col("c.tokens"), F.col("c.attn"), F.col("s")), " ").alias("sent"))
+    best_first = Window.partitionBy("row_id").orderBy((-F.col("score")).asc(), "place")
+    wanted = {(r["row_id"], r["rank"]): (r["sent"], str(r["score"])) for r in sents.withColumn(
+        "rank", F.row_number().over(best_first) - 1).filter("rank < 3").collect()}
+    table = spark.createDataFrame([("none", "x")], "token string, replacement string")
+    for options in ({}, {"phrase_table": table}, {"phrase_table": table, "max_entries": 0}):
+        done = nbest.translate(df, load_odd, n_best=3, **options)
+        assert {(r["row_id"], r["place"]): (r["t"]["sent"], str(r["t"]["score"])) for r in done.select(
+            "row_id", F.posexplode("translation").alias("place", "t")).collect()} == wanted
+
+
 def test_exact_batches_do_not_depend_on_layout(spark):
     df = spark.range(95).select(F.col("id").alias("row_id"), F.lit("s").alias("src"))
     runs = [
