@@ -16,7 +16,7 @@ from duolex.session import stage
 SCALE = 1_000_000
 # Profiles up to this many rows are sent to the tasks whole (about 200 MB there).
 MAX_BROADCAST_ROWS = 4_000_000
-_CHUNK_CHARS = 1 << 20
+_CHUNK_CHARS = 1 << 16
 
 
 def count_trigrams(df: DataFrame, text: str, lang: str) -> DataFrame:

@@ -1,3 +1,8 @@
+import tracemalloc
+from types import SimpleNamespace
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +144,21 @@ def test_folders_with_files_of_one_name(spark, tmp_path):
     assert len(counts) == 2 and all(r["Original"] == 8 and r["Filename"] == "x.tsv" for r in counts)
     stamped = {(r["path"].split("/")[-2], r["Lang1"]) for r in audit.filter("not inverted").collect()}
     assert stamped <= {("a", "en"), ("b", "de")}
+
+
+def test_language_scores_take_little_memory():
+    """A task's arrays follow a run of texts of bounded length, not the batch."""
+    grams = sorted({a + b + c for a in "abcd" for b in "abcd" for c in "abcd"})
+    codes = langid._gram_codes(grams)
+    gains = np.array([[1] * 32 + [0] * 32, [0] * 32 + [1] * 32])
+    held = SimpleNamespace(value=(["x", "y"], codes, gains, np.array([0, 0])))
+    texts = pd.Series([("ab" if i % 2 else "cd") * 150 for i in range(10_000)])
+    predict = langid._predictor(held).func
+    tracemalloc.start()
+    try:
+        found = predict(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found.tolist() == ["x" if i % 2 else "y" for i in range(10_000)]
+    assert most < 16 << 20
