@@ -15,12 +15,14 @@ WORD_TOKENIZER = "word_bpe_49k.json"
 CACHE_CHUNKS = 200_000
 MAX_KEPT = 48
 # Characters of text that are split and looked up at once.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 4_000_000
 
 # Latin letters without combining marks, whose lower case is one character each, and ASCII without most controls.
 _UNUSUAL = "[^\t-\r -~\u00a1-\u012f]"
 # Controls that Python splits at and the tokenizer does not.
 _CONTROLS = "\x1c\x1d\x1e\x1f"
+# A sign beyond the Latin letters: the byte that it begins with is in no text that is looked up by the word.
+_MARK = "\u4e2d"
 # A run of these after letters is a piece of its own in any case.
 _TAIL = ".,;:!?"
 
@@ -39,12 +41,16 @@ class WordEncoder:
 
     def __init__(self, path: str):
         import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same merges without the search for pieces, for words of ASCII letters, which are one piece each.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -55,46 +61,71 @@ class WordEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in encodings]
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words of Latin letters, each of which is one piece whose last token alone closes a word."""
+        """Ids of lower-case words of Latin letters, each of which is one piece whose last token alone closes a word."""
+        found = self._closed([w for w in words if w.isascii()], self.merges)
+        found.update(self._closed([w for w in words if not w.isascii()], self.tokenizer))
+        return found
+
+    def _closed(self, words: list[str], tokenizer) -> dict[str, bytes]:
         import numpy as np
 
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.closes[ids]) + 1 if len(ids) else ids
         if len(ends) != len(words):
             return dict(zip(words, self._plain(words)))
         raw, starts = ids.tobytes(), [0, *(4 * ends[:-1]).tolist()]
         return {w: raw[a:b] for w, a, b in zip(words, starts, (4 * ends).tolist())}
 
+    def _marked(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks of usual characters, found in one text with a mark between each two."""
+        import numpy as np
+
+        if not chunks:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([f" {_MARK} ".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(ids == self.mark[0])
+        if len(ends) != len(chunks) - 1:
+            return self._plain(chunks)
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        return [raw[a:b] for a, b in zip([0, *(e + 4 * len(self.mark) for e in ends)], [*ends, len(raw)])]
+
     def _learn(self, chunks: list[str], usual: bool) -> dict[str, bytes]:
         """Ids of new chunks; letters with punctuation behind them are looked up as two."""
         if not usual:
             return dict(zip(chunks, self._plain(chunks)))
-        found: dict[str, bytes] = {}
         letters, tailed, others = [], [], []
         for c in chunks:
-            core = c.rstrip(_TAIL)
-            (others if not core.isalpha() else letters if core == c else tailed).append(c)
-        found.update(self._words(letters))
-        cores = {c.rstrip(_TAIL) for c in tailed}
-        known = {c: v for c in cores if (v := found.get(c) or self.new.get(c) or self.old.get(c))}
-        known.update(self._words([c for c in cores if c not in known]))
-        tails = {c[len(c.rstrip(_TAIL)):] for c in tailed}
-        tail_ids = dict(zip(tails, self._plain(list(tails))))
-        found.update((c, known[core] + tail_ids[c[len(core):]]) for c in tailed for core in (c.rstrip(_TAIL),))
-        found.update(zip(others, self._plain(others)))
+            if c.isalpha():
+                letters.append(c)
+            elif (core := c.rstrip(_TAIL)).isalpha():
+                tailed.append((c, core, c[len(core):]))
+            else:
+                others.append(c)
+        found = self._words(letters)
+        known = {c: found.get(c) or self.new.get(c) or self.old.get(c) for c in {core for _, core, _ in tailed}}
+        known.update(self._words([c for c, v in known.items() if not v]))
+        tails = list({tail for *_, tail in tailed})
+        tail_ids = dict(zip(tails, self._marked(tails)))
+        found.update([(c, known[core] + tail_ids[tail]) for c, core, tail in tailed])
+        found.update(zip(others, self._marked(others)))
         return found
 
     def _look_up(self, wanted: list[str], usual: bool = True) -> list[bytes]:
         """Ids of distinct chunks."""
-        new, old = self.new, self.old
-        here = [new.get(c) for c in wanted]
-        missing = [c for c, v in zip(wanted, here) if v is None]
-        known = {c: v for c in missing if (v := old.get(c)) is not None}
-        known.update(self._learn([c for c in missing if c not in known], usual))
-        if len(new) + len(known) > CACHE_CHUNKS:
-            self.old, self.new = new, {}
-        self.new.update((c, v) for c, v in known.items() if len(c) <= MAX_KEPT)
-        return [known[c] if v is None else v for c, v in zip(wanted, here)]
+        out = list(map(self.new.get, wanted))
+        missing = [i for i, v in enumerate(out) if v is None]
+        if not missing:
+            return out
+        chunks = [wanted[i] for i in missing]
+        held = list(map(self.old.get, chunks))
+        learned = self._learn([c for c, v in zip(chunks, held) if v is None], usual)
+        held = [learned[c] if v is None else v for c, v in zip(chunks, held)]
+        if len(self.new) + len(held) > CACHE_CHUNKS:
+            self.old, self.new = self.new, {}
+        self.new.update([(c, v) for c, v in zip(chunks, held) if len(c) <= MAX_KEPT])
+        for i, v in zip(missing, held):
+            out[i] = v
+        return out
 
     def _rare(self, text: str) -> bytes:
         """A text with other characters: its chunks as they are, or the whole of it where they are unclear."""

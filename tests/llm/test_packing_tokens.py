@@ -31,6 +31,28 @@ def test_ids_are_the_tokenizers_own(tokenizer, monkeypatch):
         assert np.frombuffer(got, "<u4").tolist() == _ids(tokenizer, text), repr(text)
 
 
+def test_odd_chunks_are_encoded_together(tokenizer):
+    """Chunks with digits or signs go to the tokenizer in one text for all, and come back apart."""
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.inputs = inner, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.inputs += len(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    rng = random.Random(3)
+    chunks = ["".join(rng.choice("ab\u00e4\u00dfc'-.,0129#<|>\u00bf\u00e9\u0111") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    chunks += ["don't", "x_y", "\u4e2d", "<|endoftext|>", "...", "\u00aa", "a1."]
+    texts = [" ".join(chunks[i:i + 50]) for i in range(0, len(chunks), 50)]
+    encoder = tokens.WordEncoder(tokens.tokenizer_path())
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    found = list(encoder.encode(pa.array(texts)))
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counted.inputs < 100
+
+
 def test_best_fit_is_best_fit():
     rng = random.Random(2)
     for _ in range(50):
