@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from duolex.functions.text import whitespace_tokens
-from duolex.operators.batches import SHARD_ROWS, TOKEN_BUDGET, training_rows
+from duolex.operators.batches import SHARD_ROWS, TOKEN_BUDGET, shard_of, training_facts
 from duolex.operators.subwords import META_PIECES, VOCAB_SIZE, learn_subwords
-from duolex.session import stage
+from duolex.session import delete_staged, settings, stage
 from duolex.sources.sinks import write_training_shards
 from duolex.sources.vocabulary import load_vocabulary, save_vocabulary
 
@@ -31,19 +31,30 @@ def build_training_set(df: DataFrame, target: str, order: str = "row_id", vocab_
     tgt, shard, n_tokens, batch_id, unknown tokens of either side), `manifest` a row per shard: examples,
     batches, tokens, its largest batch and the versions of the vocabularies. No batch is larger than
     `budget` unless one example alone is. The manifest is written last, so a job that has one is complete.
+
+    Places, batches and counts are found without the texts, which move once, to the task that writes their shard.
     """
     spark = df.sparkSession
-    segments = stage(df.select(order, *SIDES), "segments")
-    rows = training_rows(segments, *SIDES, order, shard_rows, budget, hard=True)
+    segments = stage(df.select(order, *SIDES).withColumn("_no", F.monotonically_increasing_id()), "segments")
+    facts = stage(training_facts(segments, *SIDES, order, "_no", shard_rows, budget), "batches")
+    found = facts.select("_no", "shard", "n_tokens", "batch_id", F.col(order).alias("_order"))
     made = {}
     for side in SIDES:
         path = f"{target}/vocabularies/{side}"
         made[side] = save_vocabulary(learn_subwords(segments.filter(F.col(side).isNotNull()), side, "word", vocab_size), path, "word")
         vocabulary, _, _ = load_vocabulary(spark, path, made[side])
         counts = _unknown(segments, side, vocabulary, order)
-        rows = rows.join(counts, F.col(order) == F.col("_row"), "left").drop("_row").withColumn(
+        found = found.join(counts, F.col("_order") == F.col("_row"), "left").drop("_row").withColumn(
             f"unknown_{side}", F.coalesce(f"unknown_{side}", F.lit(0)))
-    write_training_shards(rows, f"{target}/shards", order=order)
+    # Both sides are dealt by shard, as the files are, so neither the join nor the writer moves them.
+    texts = segments.withColumn("_shard", shard_of(facts, order, "_no")).withColumnRenamed("_no", "_text").repartition("_shard")
+    rows = found.drop("_order").repartition("shard").join(
+        texts.hint("merge"), (F.col("shard") == F.col("_shard")) & (F.col("_no") == F.col("_text"))).select(
+        order, *SIDES, "n_tokens", "shard", "batch_id", *[f"unknown_{side}" for side in SIDES])
+    with settings(spark, {"spark.sql.adaptive.skewJoin.enabled": "false"}):  # which would cut shards over tasks
+        write_training_shards(rows, f"{target}/shards", order=order, dealt=True)
+    for staged in (segments, facts):
+        delete_staged(staged)
     batches = spark.read.parquet(f"{target}/shards").groupBy("shard", "batch_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_tokens").cast("bigint").alias("tokens"))
     batches.groupBy("shard").agg(

@@ -73,9 +73,10 @@ def write_final_tsv(audit: DataFrame, path: str, mode: str = "errorifexists") ->
 
 def write_training_shards(df: DataFrame, path: str, shard: str = "shard", length: str = "n_tokens",
                           order: str = "row_id", max_rows_per_file: int = 1_000_000,
-                          mode: str = "errorifexists") -> None:
-    """Parquet files of whole shards, each in order of length."""
+                          mode: str = "errorifexists", dealt: bool = False) -> None:
+    """Parquet files of whole shards, each in order of length. The rows are `dealt` if a task holds whole shards already."""
+    rows = df if dealt else df.repartition(F.col(shard))
     (
-        df.repartition(F.col(shard)).sortWithinPartitions(shard, length, order)
+        rows.sortWithinPartitions(shard, length, order)
         .write.mode(mode).option("maxRecordsPerFile", max_rows_per_file).option("compression", STAGED_CODEC).parquet(path)
     )

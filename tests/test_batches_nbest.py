@@ -282,6 +282,31 @@ def test_training_files(spark, tmp_path):
     assert kind == "word" and pieces.count() == 5
 
 
+def _exchanges(node, column: str) -> int:
+    """Exchanges of a plan that move a column."""
+    if node.nodeName() == "AdaptiveSparkPlan":
+        node = node.inputPlan()
+    children = node.children()
+    below = sum(_exchanges(children.apply(i), column) for i in range(children.size()))
+    return below + (node.nodeName() == "Exchange" and f" {column}#" in " " + node.output().mkString(" "))
+
+
+def test_texts_of_a_training_set_move_once(spark, tmp_path, monkeypatch):
+    """To the task that writes their shard; rows that share an id, at the border of two shards too, stay whole."""
+    plans, write = [], training.write_training_shards
+    monkeypatch.setattr(training, "write_training_shards", lambda rows, *args, **kw: (
+        plans.append(rows._jdf.queryExecution().executedPlan()), write(rows, *args, **kw)))
+    ids = [*range(7), *[7] * 25, *range(8, 40), None]
+    df = spark.createDataFrame([(i, f"s{n} x", f"t{n}" if n % 3 else None) for n, i in enumerate(ids)], "row_id long, src string, tgt string")
+    training.build_training_set(df.repartition(5), str(tmp_path / "t"), vocab_size=50, shard_rows=10, budget=8)
+    assert _exchanges(plans[0], "src") == 1
+    made = training.read_training_set(spark, str(tmp_path / "t")).collect()
+    assert sorted(r["src"] for r in made) == sorted(f"s{n} x" for n, i in enumerate(ids) if i is not None)
+    shards = {n: [r["row_id"] for r in made if r["shard"] == n] for n in range(7)}
+    assert [len(shards[n]) for n in range(7)] == [10] * 6 + [4]
+    assert all(max(shards[n]) <= min(shards[n + 1]) for n in range(6))
+
+
 def test_translation_goes_on_where_it_stopped(spark, tmp_path):
     """The predictor dies in the third of five ranges; the second job asks it for the rest alone."""
     calls, path = spark.sparkContext.accumulator(0), str(tmp_path / "done")
