@@ -234,3 +234,20 @@ def test_rows_that_the_caller_stages_are_not_staged_before(spark, tmp_path, monk
     plain = corpus.read_corpus(spark, f"{tmp_path}/c", staged=False)
     assert "corpus-rows" not in names
     assert sorted(plain.collect()) == sorted(corpus.read_corpus(spark, f"{tmp_path}/c").collect()) and plain.count() == 50
+
+
+def test_lines_of_quoted_fields_are_staged_by_the_chunk(spark, tmp_path, monkeypatch):
+    """A field of many lines is some rows while it is read, and what was staged on the way is deleted."""
+    rows = [("f", "\n".join(f"w{i} {j}" for j in range(2000)), f'"{i}', "en", "de") for i in range(30)]
+    sinks.write_tsv(spark.createDataFrame(rows, corpus.CORPUS_COLUMNS).coalesce(1), f"{tmp_path}/c", header=False)
+    staged, stage = {}, corpus.stage
+    monkeypatch.setattr(corpus, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    monkeypatch.setattr(corpus, "CHUNK_BYTES", 50_000)
+    gone, delete = [], corpus.delete_staged
+    monkeypatch.setattr(corpus, "delete_staged", lambda df: gone.append(staged["corpus-lines"].count()) or delete(df))
+    read = corpus.read_corpus(spark, f"{tmp_path}/c")
+    assert sorted(tuple(r[c] for c in corpus.CORPUS_COLUMNS) for r in read.collect()) == sorted(rows)
+    assert [r["row_id"] for r in read.orderBy("row_id").collect()] == [2000 * i for i in range(30)]
+    assert len(gone) == 1 and gone[0] <= 30
+    left = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged["corpus-lines"].inputFiles()[0])
+    assert not left.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(left)
