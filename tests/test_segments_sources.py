@@ -251,3 +251,44 @@ def test_lines_of_quoted_fields_are_staged_by_the_chunk(spark, tmp_path, monkeyp
     assert len(gone) == 1 and gone[0] <= 30
     left = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged["corpus-lines"].inputFiles()[0])
     assert not left.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(left)
+
+
+def _texts(spark, path, ids):
+    docs = [(i, "\n".join(f"line {n} {j}" for j in range(3)) if n % 7 else None, "en" if n % 2 else None, f"s{n % 5}") for n, i in enumerate(ids)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    df.write.parquet(f"{path}/documents.parquet")
+    return df
+
+
+def test_neighbours_are_found_with_one_move_of_texts(spark, tmp_path):
+    """Ids that come twice, gaps, ids below zero, and the borders of runs."""
+    docs = _texts(spark, tmp_path, [*range(-3, 4), 3, 254, 255, 255, 256, 256, 257, 511, 512, 600, 602, None, None])
+    following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("text2"), F.col("lang").alias("l2"))
+    want = docs.join(following, "doc_id", "left").select(
+        "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "t1"), F.split("text2", "\n").alias("o"), F.coalesce("l2", "lang").alias("l2"))
+    want = want.select("doc_id", "pos", "t1", F.get("o", F.col("pos")).alias("t2"), "l2")
+    found = derived.line_pairs(spark, str(tmp_path))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, found.select(want.columns).collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_translations_meet_their_sources_as_digests(spark, tmp_path, monkeypatch):
+    """Texts meet only where a translator mixes results up, which shows."""
+    _texts(spark, tmp_path, range(40))
+    spark.createDataFrame([(0, "line here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    query = catalog.all_queries()["job_translate_folders"]
+    plain = query(spark, str(tmp_path))
+    assert "Join" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted(map(tuple, plain.collect()), key=str)
+    assert rows and all(r[0] == r[1] for r in rows)
+    translate = catalog.nbest.translate
+
+    def mixed(df, *args, **options):
+        asked = translate(df, *args, **options)
+        return asked.withColumn("row_id", F.when(F.col("row_id") == 0, 1).when(F.col("row_id") == 1, 0).otherwise(F.col("row_id")))
+
+    monkeypatch.setattr(catalog.nbest, "translate", mixed)
+    other = query(spark, str(tmp_path)).collect()
+    assert sum(r["n"] for r in other) == sum(r[2] for r in rows)
+    assert any(r["src"] != r["asked"] for r in other)
