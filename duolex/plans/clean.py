@@ -6,13 +6,15 @@ why. Kept rows, routed files and step counts are views of that one audit.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from duolex.functions.text import clean_pair
 from duolex.operators.dedupe import repeated_keys, tag_later_copies, text_key
 from duolex.operators.langid import predict_languages
 from duolex.operators.routing import aligned_sentences, equal_pair, language_verdict, length_ratio
-from duolex.session import STAGED_CODEC, small_side, stage
+from duolex.session import STAGED_CODEC, delete_staged, small_side, stage
 from duolex.sources.corpus import CORPUS_COLUMNS, read_corpus
 from duolex.sources.sinks import write_final_tsv, write_routed, write_tsv
 
@@ -219,13 +221,17 @@ def route_counts(audit: DataFrame) -> DataFrame:
 
 
 def clean_folder(spark: SparkSession, source: str, target: str, profiles: DataFrame,
-                 multiline: bool = True, fmt: str = "parquet") -> DataFrame:
+                 multiline: bool = True, fmt: str = "parquet", read: Callable[[], None] = lambda: None) -> DataFrame:
     """Clean every file of a folder and write all results below `target`.
 
     Writes `audit`, the route folders, the snapshots after steps 2 and 4, the
-    kept pairs as header-less TSV and the step table, and returns the latter.
+    kept pairs as header-less TSV and the step table, and returns the latter. `read` is called once the files of the
+    folder are not needed any more.
     """
-    prepared = stage(prepare(read_corpus(spark, source, multiline, staged=False)), "corpus")
+    rows = read_corpus(spark, source, multiline, staged=False)
+    prepared = stage(prepare(rows), "corpus")
+    delete_staged(rows)
+    read()
     repeated = find_repeated(prepared)
     audit = audit_of(prepared, repeated, profiles)
     audit.write.option("compression", STAGED_CODEC).parquet(f"{target}/audit")
@@ -233,6 +239,8 @@ def clean_folder(spark: SparkSession, source: str, target: str, profiles: DataFr
     write_routed(audit, f"{target}/routes", fmt)
     through_step2(prepared, repeated).filter("drop_stage is null").select(
         "path", "Filename", "row_id", *CORPUS_COLUMNS).write.option("compression", STAGED_CODEC).parquet(f"{target}/steps/step_2")
+    for staged in (prepared, repeated):
+        delete_staged(staged)
     after_step4(audit).write.option("compression", STAGED_CODEC).parquet(f"{target}/steps/step_4")
     write_final_tsv(audit, f"{target}/final")
     counts = step_table(audit)

@@ -162,3 +162,21 @@ def test_language_scores_take_little_memory():
         tracemalloc.stop()
     assert found.tolist() == ["x" if i % 2 else "y" for i in range(10_000)]
     assert most < 16 << 20
+
+
+def test_folder_job_keeps_no_copy_that_it_has_read(spark, small):
+    """The files of the folder and the staged rows are gone once the results stand."""
+    from duolex import session
+    from duolex.plans import catalog
+
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(session.work_dir(spark)).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def there():
+        names = ("corpus-folder", "corpus-lines", "corpus-rows", "corpus-", "repeated")
+        return {f.getPath().getName() for f in store.globStatus(path(f"{session.work_dir(spark)}/*"))
+                if f.getPath().getName().startswith(names) and any(not x.isDirectory() for x in store.listStatus(f.getPath()))}
+
+    before = there()
+    assert catalog.all_queries()["sink_step_table"](spark, small).count() > 0
+    assert there() == before
